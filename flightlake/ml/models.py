@@ -62,10 +62,9 @@ def fit_classifier(train: DataFrame, settings: BoostSettings = BoostSettings())
     learner = GBTClassifier(
         labelCol=TARGET_FLAG,
         predictionCol="late",
-        probabilityCol="probability",
-        rawPredictionCol="margin",
         **_shared(settings),
     )
+    learner.setProbabilityCol("probability").setRawPredictionCol("margin")
     return _fit(train, learner, TARGET_FLAG)
 
 
