@@ -24,19 +24,26 @@ def build_session(app: str = "flightlake", cpus: int | str = "*", **conf: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in conf.items():
+    for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings that the wide cleaning projections rely on.
+# Settings that the wide cleaning projections rely on.  HotSpot never compiles a
+# method above 8,000 bytes of bytecode, so one fused method over fifty columns
+# runs interpreted: wide operators use split-up projections, narrow ones (all
+# reports) stay fused.  Call-site capture costs seconds per wide plan.
+SETTINGS = {
+    "spark.sql.codegen.maxFields": "40",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
-    HotSpot never compiles a method above 8,000 bytes of bytecode.  With this
-    limit Spark falls back to split-up projections for such a stage instead of
-    running one huge interpreted method.
-    """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+def tune(spark: SparkSession) -> SparkSession:
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 

@@ -17,8 +17,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from flightlake.contracts import CLEAN_KEY, FACT_NATURAL_KEY
 from flightlake.functions.metrics import count_where, not_false
 from flightlake.operators.clean import clean_flights
-from flightlake.session import stage_path, staged
-from flightlake.sources.files import path_exists, write_clean_table
+from flightlake.operators.duplicates import repeated_keys
+from flightlake.session import stage_path
+from flightlake.sources.files import path_exists, read_clean_table, write_clean_table
 from flightlake.warehouse.dimensions import (
     airline_dimension,
     airport_dimension,
@@ -26,7 +27,13 @@ from flightlake.warehouse.dimensions import (
     upsert,
 )
 from flightlake.warehouse.fact import fact_rows, require_matched
-from flightlake.warehouse.load import Star, open_star, publish
+from flightlake.warehouse.load import (
+    Star,
+    load_path,
+    publish,
+    published_loads,
+    read_loads,
+)
 
 LEDGER_SCHEMA = (
     "batch_id string, fingerprint string, reporting_year int, reporting_month int, "
@@ -91,9 +98,9 @@ def new_facts(facts: DataFrame, existing: DataFrame) -> DataFrame:
     return facts.join(same_months.select(*FACT_NATURAL_KEY), FACT_NATURAL_KEY, "left_anti")
 
 
-def _extend(spark: SparkSession, star: Star, clean: DataFrame, folder: str) -> tuple[Star, int]:
-    """Write the next version of the star under `folder`; returns it and the facts added."""
-    parts = {
+def _write_dimensions(star: Star, clean: DataFrame, target: str, batch: str) -> None:
+    """Next version of the three dimensions, known keys kept."""
+    merged = {
         "dim_date": upsert(star.dim_date, date_dimension(clean), "date_key"),
         "dim_airline": upsert(
             star.dim_airline,
@@ -108,21 +115,47 @@ def _extend(spark: SparkSession, star: Star, clean: DataFrame, folder: str) -> t
             "airport_key",
         ),
     }
-    for name, frame in parts.items():
-        frame.write.parquet(f"{folder}/{name}")
-    dims = {name: spark.read.parquet(f"{folder}/{name}") for name in parts}
-    facts = fact_rows(
-        clean.dropDuplicates(CLEAN_KEY),
-        dims["dim_airline"],
-        dims["dim_airport"],
-        ["year", "month"],
-    )
-    added = staged(new_facts(facts, star.fact_flight), "new_facts")
-    require_matched(added)
+    for name, frame in merged.items():
+        frame.write.parquet(load_path(target, name, batch))
+
+
+def _check_batch(clean: DataFrame, year: int, month: int) -> int:
+    """Rows of the batch, once it is known to be one month with unique keys."""
+    outside = not_false((F.col("year") != year) | (F.col("month") != month))
+    found = clean.agg(F.count(F.lit(1)).alias("n"), count_where(outside).alias("outside")).first()
+    if found["outside"]:
+        raise ValueError(f"{found['outside']:,} rows are outside {year}-{month:02d}.")
+    if not repeated_keys(clean, CLEAN_KEY).isEmpty():
+        raise ValueError("The batch repeats a flight key with different values.")
+    return found["n"]
+
+
+def _append(clean: DataFrame, target: str, batch: str) -> int:
+    """Write and publish the new facts of a clean month; returns how many there are."""
+    spark = clean.sparkSession
+    version, loads = published_loads(spark, target)
+    star = read_loads(spark, target, loads)
+    _write_dimensions(star, clean, target, batch)
+    after = {**{name: [batch] for name in loads}, "fact_flight": loads["fact_flight"]}
+    dims = read_loads(spark, target, after)
+    facts = fact_rows(clean, dims.dim_airline, dims.dim_airport, ["year", "month"])
     top = star.fact_flight.agg(F.coalesce(F.max("flight_key"), F.lit(0))).first()[0]
     # unique, increasing keys after the highest one; written once, so they stay fixed
-    keyed = added.withColumn("flight_key", F.monotonically_increasing_id() + top + 1)
-    return Star(**dims, fact_flight=keyed), added.count()
+    keyed = new_facts(facts, star.fact_flight).withColumn(
+        "flight_key", F.monotonically_increasing_id() + top + 1
+    )
+    path = load_path(target, "fact_flight", batch)
+    keyed.write.partitionBy("year", "month").parquet(path)
+    written = spark.read.schema(keyed.schema).parquet(path)
+    require_matched(written)
+    added = written.count()
+    if added:
+        after["fact_flight"] = [*loads["fact_flight"], batch]
+    before, total = star.fact_flight.count(), read_loads(spark, target, after).fact_flight.count()
+    if total != before + added:
+        raise RuntimeError(f"Fact count {total:,} differs from {before:,} + {added:,}.")
+    publish(spark, target, version + 1, after)
+    return added
 
 
 def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
@@ -141,24 +174,9 @@ def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
     try:
         clean_path = stage_path(spark, "batch_clean")
         write_clean_table(clean_flights(raw), clean_path)
-        clean = spark.read.parquet(clean_path)
-        outside = clean.agg(
-            F.count(F.lit(1)).alias("n"),
-            count_where(not_false((F.col("year") != year) | (F.col("month") != month))).alias("bad"),
-        ).first()
-        if outside["bad"]:
-            raise ValueError(f"{outside['bad']:,} rows are outside {year}-{month:02d}.")
-        star = open_star(spark, target)
-        before = star.fact_flight.count()
-        folder = f"{target}/_loads/{batch}"
-        extended, added = _extend(spark, star, clean, folder)
-        # the new version is the old fact files plus the added ones
-        whole = star.fact_flight.unionByName(extended.fact_flight)
-        whole.write.partitionBy("year", "month").parquet(f"{folder}/fact_flight")
-        after = spark.read.parquet(f"{folder}/fact_flight").count()
-        if after != before + added:
-            raise RuntimeError(f"Fact count {after:,} differs from {before:,} + {added:,}.")
-        publish(spark, target, batch)
+        clean = read_clean_table(spark, clean_path)
+        rows = _check_batch(clean, year, month)
+        added = _append(clean, target, batch)
     except Exception as error:
         _record(spark, target, **common, status="failed", error_message=str(error)[:1000])
         raise
@@ -166,7 +184,7 @@ def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
         spark,
         target,
         **common,
-        source_row_count=outside["n"],
+        source_row_count=rows,
         loaded_row_count=added,
         status="complete",
     )

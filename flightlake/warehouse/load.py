@@ -1,8 +1,10 @@
 """Write-audit-publish loading of the star schema.
 
-A load writes all four tables under `<target>/_loads/<id>/`, audits what was
-written, and only then points `<target>/_current` at it.  A failed load leaves
-the published one untouched, and nothing is renamed or copied.
+Layout: `<target>/<table>/load_id=<id>/...` for data and `<target>/_manifest`, an
+append-only table whose highest version names the loads that make up each
+table.  A load writes its files, audits what was written, and only then appends
+a manifest version: a failed load leaves the published one untouched, nothing is
+renamed, copied or overwritten, and an increment adds its own files only.
 """
 
 from __future__ import annotations
@@ -56,32 +58,76 @@ def load_counts(star: Star) -> DataFrame:
     return out
 
 
-def _read(spark: SparkSession, folder: str) -> Star:
-    return Star(**{name: spark.read.parquet(f"{folder}/{name}") for name in TABLES})
+def _manifest(spark: SparkSession, target: str) -> DataFrame | None:
+    """(version, table_name, load_id) rows of the current version."""
+    path = f"{target}/_manifest"
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col("version") == rows.agg(F.max("version")).scalar())
+
+
+def published_loads(spark: SparkSession, target: str) -> tuple[int, dict[str, list[str]]]:
+    """Current version and the load ids per table (one manifest row per load)."""
+    manifest = _manifest(spark, target)
+    if manifest is None:
+        return 0, {}
+    rows = manifest.collect()
+    loads = {name: [r["load_id"] for r in rows if r["table_name"] == name] for name in TABLES}
+    return rows[0]["version"], loads
+
+
+def publish(spark: SparkSession, target: str, version: int, loads: dict[str, list[str]]) -> None:
+    entries = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(load_id).alias("load_id"))
+        for name, ids in loads.items()
+        for load_id in ids
+    ]
+    rows = spark.range(1).select(F.lit(version).alias("version"), F.inline(F.array(*entries)))
+    rows.coalesce(1).write.mode("append").parquet(f"{target}/_manifest")
+
+
+def load_path(target: str, table: str, load_id: str) -> str:
+    return f"{target}/{table}/load_id={load_id}"
+
+
+def read_loads(spark: SparkSession, target: str, loads: dict[str, list[str]]) -> Star:
+    frames = {}
+    for name in TABLES:
+        paths = [load_path(target, name, load_id) for load_id in loads[name]]
+        frame = spark.read.option("basePath", f"{target}/{name}").parquet(*paths)
+        frames[name] = frame.drop("load_id")
+    return Star(**frames)
 
 
 def open_star(spark: SparkSession, target: str) -> Star:
     """The currently published star schema."""
-    load_id = spark.read.parquet(f"{target}/_current").first()["load_id"]
-    return _read(spark, f"{target}/_loads/{load_id}")
+    _, loads = published_loads(spark, target)
+    if not loads:
+        raise FileNotFoundError(f"No star schema was published at {target}.")
+    return read_loads(spark, target, loads)
 
 
-def write_star(spark: SparkSession, clean_path: str, folder: str) -> Star:
+def write_star(spark: SparkSession, clean_path: str, target: str, load_id: str) -> Star:
     """Build and write dimensions, then the fact, from a published clean table.
 
     The fact is written straight from the scan of the clean files: these are
     already split by month, so the write needs no shuffle.
     """
     clean = spark.read.parquet(clean_path)
-    date_dimension(clean).write.parquet(f"{folder}/dim_date")
-    airline_dimension(clean).write.parquet(f"{folder}/dim_airline")
-    airport_dimension(clean).write.parquet(f"{folder}/dim_airport")
-    airlines = spark.read.parquet(f"{folder}/dim_airline")
-    airports = spark.read.parquet(f"{folder}/dim_airport")
+    dimensions = {
+        "dim_date": date_dimension(clean),
+        "dim_airline": airline_dimension(clean),
+        "dim_airport": airport_dimension(clean),
+    }
+    for name, frame in dimensions.items():
+        frame.write.parquet(load_path(target, name, load_id))
+    airlines = spark.read.parquet(load_path(target, "dim_airline", load_id))
+    airports = spark.read.parquet(load_path(target, "dim_airport", load_id))
     keyed = sorted_file_keys(spark, clean_path, FILE_ORDER, "flight_key")
     facts = fact_rows(keyed, airlines, airports, ["flight_key", "year", "month"])
-    facts.write.partitionBy("year", "month").parquet(f"{folder}/fact_flight")
-    return _read(spark, folder)
+    facts.write.partitionBy("year", "month").parquet(load_path(target, "fact_flight", load_id))
+    return read_loads(spark, target, {name: [load_id] for name in TABLES})
 
 
 def load_warehouse(
@@ -90,14 +136,15 @@ def load_warehouse(
     """Full load of a clean table; returns the table counts."""
     clean = spark.read.parquet(clean_path)
     validate_load_input(clean)
-    if path_exists(spark, f"{target}/_current") and not replace:
-        existing = open_star(spark, target).fact_flight.count()
+    version, loads = published_loads(spark, target)
+    if loads and not replace:
+        existing = read_loads(spark, target, loads).fact_flight.count()
         if existing:
             raise RuntimeError(
                 f"The fact table already contains {existing:,} rows. Use replace for a full reload."
             )
     load_id = uuid.uuid4().hex
-    star = write_star(spark, clean_path, f"{target}/_loads/{load_id}")
+    star = write_star(spark, clean_path, target, load_id)
     require_matched(star.fact_flight)
     source, loaded = clean.count(), star.fact_flight.count()
     if source != loaded:
@@ -105,10 +152,5 @@ def load_warehouse(
             "Fact row count does not match source data. "
             f"Source: {source:,}, warehouse: {loaded:,}."
         )
-    publish(spark, target, load_id)
+    publish(spark, target, version + 1, {name: [load_id] for name in TABLES})
     return load_counts(star)
-
-
-def publish(spark: SparkSession, target: str, load_id: str) -> None:
-    pointer = spark.range(1).select(F.lit(load_id).alias("load_id"))
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{target}/_current")
