@@ -10,7 +10,6 @@ from oracle.base import (
     EDGE_CLEAN,
     FLIGHT_DATE,
     STAR,
-    STAR_CTES,
     CLEAN_CTES,
     big,
     hour,
@@ -400,4 +399,3 @@ edge_fact AS MATERIALIZED (
   LEFT JOIN dim_airport t ON c.destination_airport_id = t.airport_id
 )""",
 )
-assert STAR_CTES

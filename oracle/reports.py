@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from flightlake import contracts as K
-from oracle.base import CLEAN, CLEAN_COLUMNS, DETAIL, DIM_CTES, EDGE_CLEAN, STAR, big, pct, r
+from oracle.base import CLEAN, DETAIL, DIM_CTES, EDGE_CLEAN, STAR, big, pct, r
 
 SQL: dict[str, str] = {}
-_ = CLEAN_COLUMNS
 
 # ---- star schema
 

@@ -31,7 +31,7 @@ RAW_SCHEMA = ", ".join(f"{c} string" for c in RAW_COLUMNS)
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("flightlake-tests")
+    session = build_session("flightlake-tests", 4, **{"spark.sql.shuffle.partitions": "3"})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
