@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.session import staged
+
 
 def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Key groups that hold more than one row, with their row count `rows`."""
@@ -17,11 +19,13 @@ def duplicate_counts(df: DataFrame, key: list[str]) -> DataFrame:
     """One row: exact_duplicates (n-1 per group), duplicate_key_rows (all n), repeated_keys.
 
     Rows that are equal everywhere are equal on the key, so only rows with a
-    repeated key are compared in full.  The wide comparison then touches a small
-    part of the table, and both aggregates combine before their shuffle, so a
-    group of copies with a third of all rows arrives as one row per task.
+    repeated key are compared in full.  The repeated keys are written first: with
+    a known file size they are broadcast while there are few, so the wide rows
+    are filtered in place and only the remaining candidates are shuffled.  Both
+    aggregates combine before their shuffle, so a group of copies with a third
+    of all rows arrives as one row per task.
     """
-    repeated = repeated_keys(df, key)
+    repeated = staged(repeated_keys(df, key), "repeated_keys")
     renamed = repeated.select(*[F.col(k).alias(f"_{k}") for k in key])
     same_key = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
