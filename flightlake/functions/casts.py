@@ -19,15 +19,16 @@ def trimmed(column: Column) -> Column:
 
 def number(df: DataFrame, name: str) -> Column:
     """Numeric value of a column as double; what is not a number becomes null."""
-    column, kind = F.col(name), df.schema[name].dataType
-    nothing = F.lit(None).cast("double")
+    kind = df.schema[name].dataType
     if isinstance(kind, T.IntegralType):
-        return column.cast("double")
+        return F.col(name).cast("double")
     if not isinstance(kind, T.StringType):
-        return F.nanvl(column.cast("double"), nothing)
+        return F.expr(f"nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE))")
     # Java accepts a type suffix ("12f", "3d") that is not part of a number here.
-    suffix = F.substring(F.rtrim(column), -1, 1).isin("d", "D", "f", "F")
-    return F.nanvl(F.when(~suffix, column).try_cast("double"), nothing)
+    return F.expr(
+        f"nanvl(try_cast(CASE WHEN substring(rtrim(`{name}`), -1, 1) NOT IN ('d', 'D', 'f', 'F') "
+        f"THEN `{name}` END AS DOUBLE), CAST(NULL AS DOUBLE))"
+    )
 
 
 def as_integer(value: Column, kind: str) -> Column:
