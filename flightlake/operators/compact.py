@@ -27,6 +27,9 @@ scheduled_departure_hour scheduled_arrival_hour flight_status arrival_on_time
 """.split()
 
 
+_TEXT = ["AIRLINE", "TAIL_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "CANCELLATION_REASON"]
+
+
 def _values(rows: list[tuple], names: list[str]) -> str:
     body = ", ".join(
         "(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in row) + ")" for row in rows
@@ -78,8 +81,7 @@ def with_airport(df: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _signed_delay(raw: DataFrame, source: str, target: str) -> dict[str, Column]:
-    signed = casts.safe_float(raw, source)
+def _signed_delay(signed: Column, target: str) -> dict[str, Column]:
     return {
         f"{target}_minutes_signed": signed,
         f"{target}_minutes": F.when(signed.isNotNull(), F.greatest(signed, F.lit(0.0).cast("float"))),
@@ -103,13 +105,16 @@ def clean_compact(raw: DataFrame, month: int | None = None) -> DataFrame:
         raise ValueError(f"Cleaning stopped because source columns are missing: {missing}")
     if month is not None:
         raw = raw.filter(F.col("MONTH") == month)
-    rows = raw.dropDuplicates()
+    # parse every number once; everything below only refers to the parsed columns
+    rows = raw.dropDuplicates().select(
+        *[F.col(c) if c in _TEXT else casts.number(raw, c).alias(c) for c in COMPACT_COLUMNS]
+    )
 
     def whole(name: str, kind: str = "int32") -> Column:
-        return casts.safe_integer(rows, name, kind)
+        return casts.as_integer(F.col(name), kind)
 
     def measure(name: str) -> Column:
-        return casts.safe_float(rows, name)
+        return F.col(name).cast("float")
 
     zero = F.lit(0.0).cast("float")
     scheduled = {
@@ -135,13 +140,11 @@ def clean_compact(raw: DataFrame, month: int | None = None) -> DataFrame:
         whole("DEPARTURE_TIME", "int16").alias("actual_departure_time"),
         scheduled["arrival"].alias("scheduled_arrival_time"),
         whole("ARRIVAL_TIME", "int16").alias("actual_arrival_time"),
-        times.hhmm_hour(scheduled["departure"]).alias("scheduled_departure_hour"),
-        times.hhmm_hour(scheduled["arrival"]).alias("scheduled_arrival_hour"),
         *[
             c.alias(name)
             for name, c in {
-                **_signed_delay(rows, "DEPARTURE_DELAY", "departure_delay"),
-                **_signed_delay(rows, "ARRIVAL_DELAY", "arrival_delay"),
+                **_signed_delay(measure("DEPARTURE_DELAY"), "departure_delay"),
+                **_signed_delay(measure("ARRIVAL_DELAY"), "arrival_delay"),
             }.items()
         ],
         F.coalesce(whole("CANCELLED", "int8"), F.lit(0)).alias("cancelled"),
@@ -158,8 +161,13 @@ def clean_compact(raw: DataFrame, month: int | None = None) -> DataFrame:
     )
     total = sum((F.col(name).cast("double") for name in causes), F.lit(0.0))
     status = flight_status(F.col("cancelled"), F.col("diverted"))
+    hours = {
+        f"scheduled_{side}_hour": times.hhmm_hour(F.col(f"scheduled_{side}_time"))
+        for side in ("departure", "arrival")
+    }
     full = (
-        base.withColumns(
+        base.withColumns(hours)
+        .withColumns(
             {
                 **times.calendar(F.col("flight_date")),
                 "is_weekend": times.is_weekend(F.col("flight_date")),
