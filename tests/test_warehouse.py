@@ -172,3 +172,11 @@ def test_stream_of_monthly_files(spark, raw, published, tmp_path):
         query.awaitTermination(120)
         assert query.exception() is None
     assert load.open_star(spark, target).fact_flight.count() == 3
+
+
+def test_increment_of_known_flights_adds_nothing(spark, raw, published):
+    """A retry after a crash between publishing and the ledger entry."""
+    _, target, _ = published
+    assert incremental.load_batch(raw({**BACK, "TAIL_NUM": "N7"}), target, 2024, 1) == "complete"
+    assert load.open_star(spark, target).fact_flight.count() == 2
+    assert incremental.read_ledger(spark, target).first()["loaded_row_count"] == 0
