@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from flightlake.catalog import QUERIES
+from oracle import SQL as ORACLE
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
-ROWS_ONLY = sorted(set(entry.queries()) - set(ORACLE))
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLE))
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert ROWS_ONLY == [
         "ml_gbt_cls", "ml_gbt_reg", "ml_gbt_residuals", "ml_perm_importance", "ml_top_drivers",
         "score_with_model",
@@ -27,12 +28,12 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, con, name):
-    assert differences(entry.queries()[name](spark, SF), con, ORACLE[name]) == []
+    assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) == []
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_returns_rows(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
