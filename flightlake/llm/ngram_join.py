@@ -1,23 +1,27 @@
 """N-gram Jaccard self-join of documents with prefix trees.
 
-A document's set holds its distinct five-word shingles; two documents link when
-their sets' Jaccard similarity reaches the threshold.
-
-1. One pass counts all shingles of all documents into a table of fixed size.  It
-   gives every shingle its place in one global order, rarest first.
-2. Sets that link share one of their first n - ceil(0.8 n) + 1 shingles in that
-   order.  Those prefixes meet in buckets of the shingle's hash; documents that
-   share one are joined to candidate components.
+A document's set holds its distinct five-word shingles, in the global order of their
+hashes; two documents link when their sets' Jaccard similarity reaches the threshold.
+
+1. Candidates.  Sets that link differ in at most k shingles, k following from their
+   sizes.  The hash space is cut into k + 1 segments, so at least one segment holds
+   the same shingles in both.  Documents meet by the hash of a whole segment, some four
+   shingles from all over the text, so a common line or passage brings nobody
+   together.  Size classes grow by 1 / threshold, and a set is cut for its own class
+   and the one below: every pair that can link is cut alike once.
+2. Documents that meet are joined to candidate components.
 3. Only the sets of candidates are shipped, each to its component's blocks.  A
    block stores them in a prefix tree and walks it with all queries at once: the
    overlap counted down to a node serves every set below it, and a subtree is
-   left when the tokens that remain on either side cannot reach the threshold.
+   left when the shingles that remain on either side cannot reach the threshold.
 
 Equal sets are one node from the start.  A block holds at most about BLOCK_SETS
 sets or BLOCK_TOKENS shingles a side; larger components are compared block against block, so
 no pair is missed and no task holds a component whole.
 
-Nodes and shingles are 64-bit hashes; two different ones agree with chance 2**-58.
+Nodes and shingles are 64-bit hashes.  Segments that are empty on both sides say
+nothing, so small sets are cut by several seeds (SEEDS): the chance that a pair just at the
+threshold meets in none of them stays below 1e-8, and far below that above it.
 """
 
 from __future__ import annotations
@@ -30,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.llm.graph import components, local_roots, passes, sieve
-from flightlake.llm.words import by_bucket, mix, shingle_sets, tokenise
+from flightlake.llm.words import bucket_of, mix, shingle_sets, tokenise
 from flightlake.session import staged
 
 SHINGLE = 5
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 1 << 19
-SKETCH_BITS = 20
-_PIECE = 4096
+#: seeds by the largest set size of the class
+SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
+_FLUSH = 1 << 20
+_SHORT = (1 << 40) - 1
 _MARK = 1 << 25
 
 
@@ -57,79 +63,120 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, n
 
 
 def _scan(size: int):
-    """Row per document (id, node, set size), then this task's shingle counts in pieces."""
+    """(doc_id, node, set size) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        low = np.uint64((1 << SKETCH_BITS) - 1)
-        names = ["doc_id", "node", "n_shingles", "piece", "counts"]
         for batch in batches:
             nodes, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for _, values, bounds, node in _sets(batch, size):
-                np.add(counts, np.bincount((values & low).astype(np.int64), minlength=len(counts)), out=counts)
+            for _, _, bounds, node in _sets(batch, size):
                 nodes.append(node)
                 sizes.append(np.diff(bounds))
-            n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes)),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
-        pieces = [(i, c.tobytes()) for i, c in enumerate(counts.reshape(-1, _PIECE)) if c.any()]
-        n = len(pieces)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-             pa.array([i for i, _ in pieces], pa.int32()), pa.array([c for _, c in pieces], pa.binary())], names=names)
+                [batch.column("doc_id"), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
+                names=["doc_id", "node", "n_shingles"])
 
     return run
 
 
-def _levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the pieces of all tasks; a counter becomes its power of two."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            got = np.frombuffer(counts, np.int64)
-            sums[piece] = sums[piece] + got if piece in sums else got
-    level = [np.ceil(np.log2(c + 1.0)).astype(np.uint8).tobytes() for c in sums.values()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array(level, pa.binary())], names=["piece", "levels"]
-    )
-
+def size_classes(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first size, segments, seeds) of every class up to the largest size.
 
-def _ordered(values: np.ndarray, bounds: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sets in the global order (level, then hash) and each element's row."""
-    low = np.uint64((1 << SKETCH_BITS) - 1)
-    key = (levels[(values & low).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (values >> np.uint64(6))
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    return key[np.lexsort((key, row))], row
-
-
-def _prefixes(size: int, percent: int, buckets: int, levels):
-    """Prefix shingles of every set, packed by bucket; equal sets once a task."""
+    The partner of a set is at most 100 / percent times as large, so it is in the
+    same class or the next.
+    """
+    first, segments, seeds = [1], [], []
+    while first[-1] <= largest or len(first) < 3:
+        top = max(first[-1], (first[-1] - 1) * 100 // percent)
+        partner = top * 100 // percent
+        first.append(top + 1)
+        segments.append((top + partner) * (100 - percent) // (100 + percent) + 1)
+        seeds.append(next(n for most, n in SEEDS if top <= most))
+    return np.array(first[:-1]), np.array(segments), np.array(seeds)
+
+
+def segment_keys(values: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all segments that hold shingles, and the row of each."""
+    n = np.diff(bounds)
+    first, segments, seeds = size_classes(int(n.max(initial=1)), percent)
+    own = np.searchsorted(first, n, "right") - 1
+    row = np.repeat(np.arange(len(n)), n)
+    keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    weight = mix(values ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    for below in (0, 1):
+        level = own - below
+        for seed in range(SEEDS[0][1]):
+            chosen = (n > 0) & (level >= 0)
+            chosen[chosen] = seeds[level[chosen]] > seed
+            if not chosen.any():
+                continue
+            width = np.where(chosen, segments[np.maximum(level, 0)], 0)
+            place = np.cumsum(width) - width
+            take = chosen[row]
+            of = row[take]
+            spread = values[take] if not seed else mix(values[take] + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
+            cell = place[of] + ((spread >> np.uint64(32)) * width[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+            total = np.zeros(int(width.sum()), np.uint64)
+            np.add.at(total, cell, weight[take])
+            full = np.flatnonzero(np.bincount(cell, minlength=len(total)))
+            who = np.repeat(np.arange(len(n)), width)[full]
+            salt = (level[who] * 8 + seed).astype(np.uint64) << np.uint64(40)
+            keys.append(mix(total[full] ^ mix(salt + (full - place[who]).astype(np.uint64))))
+            rows.append(who)
+    return np.concatenate(keys), np.concatenate(rows)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Low five bytes of each number."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(x, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view(np.int64)
+
+
+def _segments(size: int, percent: int, buckets: int):
+    """Segment keys of every set by bucket; equal sets, and equal keys of a flush, go once.
+
+    Rows with a null `keys` carry pairs that have met already, as (nodes, roots).
+    """
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         keys, nodes = (np.concatenate(x) for x in zip(*held))
-        rows = list(by_bucket(keys, buckets, nodes))
+        order = np.argsort(keys)
+        keys, nodes = keys[order], nodes[order]
+        again = np.zeros(len(keys), bool)
+        again[1:] = keys[1:] == keys[:-1]
+        x, y = local_roots(nodes[again], nodes[np.flatnonzero(again) - 1])
+        rows = [(int(bucket_of(keys[:1], buckets)[0]), None, _packed(x), _packed(y))] if len(x) else []
+        keys, nodes = keys[~again], nodes[~again]
+        bucket = bucket_of(keys, buckets)
+        order = np.argsort(bucket, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            rows.append((int(bucket[part[0]]), _packed(keys[part]), _packed(nodes[part]), None))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([b for b, _ in rows], pa.int32()), pa.array([x[0] for _, x in rows], pa.binary()),
-             pa.array([x[1] for _, x in rows], pa.binary())], names=["bucket", "tokens", "nodes"])
+            [pa.array(x, k) for x, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+            names=["bucket", "keys", "nodes", "roots"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, count = [], 0
         for batch in batches:
             for _, values, bounds, nodes in _sets(batch, size):
-                keys, row = _ordered(values, bounds, levels.value)
                 n = np.diff(bounds)
                 new = np.zeros(len(nodes), bool)
                 for i, node in enumerate(nodes.tolist()):
                     if n[i] and node not in seen:
                         seen.add(node)
                         new[i] = True
-                prefix = np.where(new, n - (n * percent + 99) // 100 + 1, 0)
-                take = np.arange(len(keys)) - bounds[row] < prefix[row]
-                held.append((keys[take], nodes[row[take]]))
-                count += int(take.sum())
-                if count > 1 << 20:
+                if not new.any():
+                    continue
+                values = values[np.repeat(new, n)]
+                keys, row = segment_keys(values, np.concatenate([[0], np.cumsum(n[new])]), percent)
+                held.append((keys, nodes[new][row] & _SHORT))
+                count += len(keys)
+                if count > _FLUSH:
                     yield from flush(held)
                     held, count = [], 0
         if held:
@@ -139,41 +186,41 @@ def _prefixes(size: int, percent: int, buckets: int, levels):
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes that share a prefix shingle, as a forest over the buckets of this task."""
-    tokens, nodes = [], []
+    """Nodes that share a segment, as a forest over the buckets of this task."""
+    keys, nodes, x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
     for batch in batches:
-        tokens += [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
-        nodes += [np.frombuffer(x, np.int64) for x in batch.column("nodes").to_pylist()]
-    if tokens:
-        token, node = np.concatenate(tokens), np.concatenate(nodes)
-        del tokens, nodes
-        order = np.argsort(token)
-        token, node = token[order], node[order]
-        same = np.flatnonzero(token[1:] == token[:-1])
-        x, y = node[same], node[same + 1]
-        x, y = x[x != y], y[x != y]
-        if len(x):
-            node, root = local_roots(x, y)
-            part = node != root
-            yield pa.RecordBatch.from_arrays([pa.array(node[part]), pa.array(root[part])], names=["a", "b"])
-
-
-def _candidates(size: int, bits, levels):
-    """Ordered sets of the nodes that pass the sieve, once a task."""
+        for bucket, key, node, root in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if key is None:
+                x.append(_unpacked(node))
+                y.append(_unpacked(root))
+            else:
+                keys.append(_unpacked(key))
+                nodes.append(_unpacked(node))
+    key, node = np.concatenate(keys), np.concatenate(nodes)
+    del keys, nodes
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    same = np.flatnonzero(key[1:] == key[:-1])
+    x, y = np.concatenate([*x, node[same]]), np.concatenate([*y, node[same + 1]])
+    x, y = x[x != y], y[x != y]
+    if len(x):
+        node, root = local_roots(x, y)
+        part = node != root
+        yield pa.RecordBatch.from_arrays([pa.array(node[part]), pa.array(root[part])], names=["a", "b"])
+
+
+def _candidates(size: int, bits):
+    """Sets of the nodes that pass the sieve, once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             out: list[tuple[int, bytes]] = []
             for _, values, bounds, nodes in _sets(batch, size):
-                hit = np.flatnonzero(passes(bits.value, nodes) & (np.diff(bounds) > 0))
-                if not len(hit):
-                    continue
-                keys, _ = _ordered(values, bounds, levels.value)
-                for i in hit:
+                for i in np.flatnonzero(passes(bits.value, nodes & _SHORT) & (np.diff(bounds) > 0)):
                     if (node := int(nodes[i])) not in seen:
                         seen.add(node)
-                        out.append((node, keys[bounds[i] : bounds[i + 1]].tobytes()))
+                        out.append((node, values[bounds[i] : bounds[i + 1]].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())],
                 names=["node", "tokens"])
@@ -341,33 +388,24 @@ def ngram_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scanned = staged(
-        texts.mapInArrow(_scan(shingle), "doc_id long, node long, n_shingles long, piece int, counts binary"), "ngram_scan"
-    )
-    sketch = scanned.filter("piece IS NOT NULL").select("piece", "counts").repartition("piece")
-    table = np.zeros((1 << SKETCH_BITS) // _PIECE * _PIECE, np.uint8)
-    for row in sketch.mapInArrow(_levels, "piece int, levels binary").collect():  # 2**20 bytes in all
-        table[row.piece * _PIECE : (row.piece + 1) * _PIECE] = np.frombuffer(row.levels, np.uint8)
-    levels = spark.sparkContext.broadcast(table)
-
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prefixes = texts.mapInArrow(
-        _prefixes(shingle, percent, 8 * parts, levels), "bucket int, tokens binary, nodes binary"
+    ids = staged(texts.mapInArrow(_scan(shingle), "doc_id long, node long, n_shingles long"), "ngram_ids")
+    keys = texts.mapInArrow(
+        _segments(shingle, percent, 8 * parts), "bucket int, keys binary, nodes binary, roots binary"
     )
-    near = prefixes.repartition(parts, "bucket").mapInArrow(_meet, "a long, b long")
-    candidate = components(near, "ngram_near")
-
-    ids = scanned.filter("piece IS NULL").select("doc_id", "node", "n_shingles")
-    bits = spark.sparkContext.broadcast(sieve(candidate, "node"))
+    near = keys.repartition(parts, "bucket").mapInArrow(_meet, "a long, b long")
+    candidate = components(near, "ngram_near").withColumnRenamed("node", "short")
+    bits = spark.sparkContext.broadcast(sieve(candidate, "short"))
     size = ids.groupBy("node").agg(F.max("n_shingles").alias("n"))
-    member = candidate.join(size, "node")
+    size = size.withColumn("short", F.col("node").bitwiseAND(F.lit(_SHORT)))
+    member = candidate.join(size, "short")
     load = member.groupBy("root").agg(
         F.ceil(F.greatest(F.count("n") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("salts")
     )
     salted = member.join(load, "root").select(
         "node", "root", "salts", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt")
     )
-    sets = texts.mapInArrow(_candidates(shingle, bits, levels), "node long, tokens binary")
+    sets = texts.mapInArrow(_candidates(shingle, bits), "node long, tokens binary")
     shipped = (
         sets.join(salted, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
