@@ -4,18 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
+from flightlake.llm.quality import quality_table
+from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_table(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_url_filter_cascade": op2_url_filter_cascade,
+    "op5_quality_trees": op5_quality_trees,
+    "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_url_filter_cascade": f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule,
+    list_has_any(string_split(host, '.'), {list(LISTED_LABELS)}) AS listed
+  FROM parsed
+)
+SELECT page_id, host, path, rule, listed,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""",
+}
