@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
+from flightlake.llm.pieces import encode_documents
 from flightlake.llm.quality import quality_table
 from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
 
@@ -18,6 +19,10 @@ def op2_url_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_table(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -32,6 +37,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_filter_cascade": op2_url_filter_cascade,
+    "op4_sentence_pieces": op4_sentence_pieces,
     "op5_quality_trees": op5_quality_trees,
     "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
