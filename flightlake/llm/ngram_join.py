@@ -9,7 +9,10 @@ hashes; two documents link when their sets' Jaccard similarity reaches the thres
    shingles from all over the text, so a common line or passage brings nobody
    together.  Size classes grow by 1 / threshold, and a set is cut for its own class
    and the one below: every pair that can link is cut alike once.
-2. Documents that meet are joined to candidate components.
+2. Each pair that met is held against a bound: the histograms of two sets' hashes differ
+   by no more than the sets do.  Pairs that pass make candidate components.  Where
+   more than GROUP documents meet in one segment they are joined unseen, in a
+   chain, so a large group of near copies never becomes a list of its pairs.
 3. Only the sets of candidates are shipped, each to its component's blocks.  A
    block stores them in a prefix tree and walks it with all queries at once: the
    overlap counted down to a node serves every set below it, and a subtree is
@@ -42,6 +45,8 @@ BLOCK_SETS = 1024
 BLOCK_TOKENS = 1 << 19
 #: seeds by the largest set size of the class
 SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
+#: documents of one segment that are paired with each other
+GROUP = 64
 _FLUSH = 1 << 20
 _SHORT = (1 << 40) - 1
 _MARK = 1 << 25
@@ -137,20 +142,22 @@ def _unpacked(x: bytes) -> np.ndarray:
 
 
 def _segments(size: int, percent: int, buckets: int):
-    """Segment keys of every set by bucket; equal sets, and equal keys of a flush, go once.
+    """Segment keys of every set by bucket; equal sets go once, and of a key in one flush
+    at most GROUP + 1 rows.
 
-    Rows with a null `keys` carry pairs that have met already, as (nodes, roots).
+    Rows with null `keys` carry the chain of what a crowded key leaves out, as (nodes, roots).
     """
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         keys, nodes = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(keys)
         keys, nodes = keys[order], nodes[order]
-        again = np.zeros(len(keys), bool)
-        again[1:] = keys[1:] == keys[:-1]
-        x, y = local_roots(nodes[again], nodes[np.flatnonzero(again) - 1])
+        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        place = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
+        crowded = place > GROUP
+        x, y = local_roots(nodes[crowded], nodes[np.flatnonzero(crowded) - 1])
         rows = [(int(bucket_of(keys[:1], buckets)[0]), None, _packed(x), _packed(y))] if len(x) else []
-        keys, nodes = keys[~again], nodes[~again]
+        keys, nodes = keys[~crowded], nodes[~crowded]
         bucket = bucket_of(keys, buckets)
         order = np.argsort(bucket, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
@@ -186,7 +193,7 @@ def _segments(size: int, percent: int, buckets: int):
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes that share a segment, as a forest over the buckets of this task."""
+    """(a, b, sure): pairs that share a segment in the buckets of this task, and chains of crowded ones."""
     keys, nodes, x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
     for batch in batches:
         for bucket, key, node, root in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -198,15 +205,87 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nodes.append(_unpacked(node))
     key, node = np.concatenate(keys), np.concatenate(nodes)
     del keys, nodes
-    order = np.argsort(key)
+    if not len(key):
+        return
+    order = np.lexsort((node, key))
     key, node = key[order], node[order]
-    same = np.flatnonzero(key[1:] == key[:-1])
-    x, y = np.concatenate([*x, node[same]]), np.concatenate([*y, node[same + 1]])
-    x, y = x[x != y], y[x != y]
-    if len(x):
-        node, root = local_roots(x, y)
-        part = node != root
-        yield pa.RecordBatch.from_arrays([pa.array(node[part]), pa.array(root[part])], names=["a", "b"])
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    width = np.diff(np.append(start, len(key)))
+    crowded = np.repeat(width > GROUP, width)
+    crowded[start] = False
+    x.append(node[crowded])
+    y.append(node[np.flatnonzero(crowded) - 1])
+    x, y = local_roots(np.concatenate(x), np.concatenate(y))
+    a, b, low = [x[x != y]], [y[x != y]], []
+    for step in range(1, GROUP):
+        some = (width > step) & (width <= GROUP)
+        if not some.any():
+            break
+        count = width[some] - step
+        at = np.repeat(start[some] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        low.append(np.unique((np.stack([node[at], node[at + step]])), axis=1))
+    pairs = np.unique(np.concatenate(low, axis=1), axis=1) if low else np.zeros((2, 0), np.int64)
+    pairs = pairs[:, pairs[0] != pairs[1]]
+    sure = np.repeat([True, False], [len(a[0]), pairs.shape[1]])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([a[0], pairs[0]])), pa.array(np.concatenate([b[0], pairs[1]])), pa.array(sure)],
+        names=["a", "b", "sure"])
+
+
+def histogram(values: np.ndarray) -> bytes:
+    """Counts of a set's shingles by hash, about four to a cell; cells are a power of two."""
+    cells = 1 << max(2, int(len(values) // 4).bit_length())
+    counts = np.bincount((mix(values) >> np.uint64(32)).astype(np.int64) % cells, minlength=cells)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A number of shingles by which two sets differ at least."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    cells = min(len(x), len(y))
+    x, y = x.reshape(-1, cells), y.reshape(-1, cells)
+    if x.max() == 255 or y.max() == 255:
+        return 0
+    return int(np.abs(x.sum(0) - y.sum(0)).sum())
+
+
+def _histograms(size: int, bits):
+    """(short, n, cells) of the nodes that pass the sieve, once a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            out: list[tuple[int, int, bytes]] = []
+            for _, values, bounds, nodes in _sets(batch, size):
+                short = nodes & _SHORT
+                for i in np.flatnonzero(passes(bits.value, short) & (np.diff(bounds) > 0)):
+                    if (node := int(short[i])) not in seen:
+                        seen.add(node)
+                        mine = values[bounds[i] : bounds[i + 1]]
+                        out.append((node, len(mine), histogram(mine)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
+                 pa.array([x[2] for x in out], pa.binary())], names=["short", "n", "cells"])
+
+    return run
+
+
+def _possible(percent: int):
+    """The pairs whose sizes and histograms allow a link."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+            most = (n + m) * (100 - percent)
+            keep = np.flatnonzero((np.minimum(n, m) * 100 >= np.maximum(n, m) * percent))
+            cells, others = batch.column("cells"), batch.column("others")
+            keep = [
+                i for i in keep.tolist()
+                if least_difference(cells[i].as_py(), others[i].as_py()) * (100 + percent) <= most[i]
+            ]
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    return run
 
 
 def _candidates(size: int, bits):
@@ -393,7 +472,19 @@ def ngram_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     keys = texts.mapInArrow(
         _segments(shingle, percent, 8 * parts), "bucket int, keys binary, nodes binary, roots binary"
     )
-    near = keys.repartition(parts, "bucket").mapInArrow(_meet, "a long, b long")
+    met = keys.repartition(parts, "bucket").mapInArrow(_meet, "a long, b long, sure boolean")
+    pairs = staged(met.groupBy("a", "b").agg(F.max("sure").alias("sure")), "ngram_pairs")
+    unsure = pairs.filter("NOT sure").select("a", "b")
+    either = unsure.select(F.explode(F.array("a", "b")).alias("short"))
+    cells = staged(
+        texts.mapInArrow(_histograms(shingle, spark.sparkContext.broadcast(sieve(either, "short"))), "short long, n long, cells binary")
+        .dropDuplicates(["short"]),
+        "ngram_cells",
+    )
+    both = unsure.join(cells.withColumnRenamed("short", "a"), "a").join(
+        cells.select(F.col("short").alias("b"), F.col("n").alias("m"), F.col("cells").alias("others")), "b"
+    )
+    near = both.mapInArrow(_possible(percent), "a long, b long").unionByName(pairs.filter("sure").select("a", "b"))
     candidate = components(near, "ngram_near").withColumnRenamed("node", "short")
     bits = spark.sparkContext.broadcast(sieve(candidate, "short"))
     size = ids.groupBy("node").agg(F.max("n_shingles").alias("n"))
