@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from flightlake.llm.line_dedup import deduplicated
 from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
 from flightlake.llm.pieces import encode_documents
@@ -35,12 +37,19 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = deduplicated(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_url_filter_cascade": op2_url_filter_cascade,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_quality_trees": op5_quality_trees,
     "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_line_dedup": op8_line_dedup,
 }
 SQL: dict[str, str] = {
     "op2_url_filter_cascade": f"""
