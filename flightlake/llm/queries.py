@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.llm.fingerprints import fingerprint_pairs
 from flightlake.llm.line_dedup import deduplicated
 from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -44,6 +49,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_url_filter_cascade": op2_url_filter_cascade,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_quality_trees": op5_quality_trees,
