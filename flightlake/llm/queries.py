@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.llm.embedding_dedup import embedding_links
 from flightlake.llm.fingerprints import fingerprint_pairs
 from flightlake.llm.line_dedup import deduplicated
 from flightlake.llm.mixing import mix_sources
@@ -48,6 +49,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
 
 
+def op9_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_url_filter_cascade": op2_url_filter_cascade,
@@ -56,6 +61,7 @@ QUERIES = {
     "op6_source_mixing": op6_source_mixing,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_pivots": op9_embedding_pivots,
 }
 SQL: dict[str, str] = {
     "op2_url_filter_cascade": f"""
