@@ -28,7 +28,7 @@ from flightlake.llm.graph import components, local_roots
 from flightlake.session import staged
 
 COSINE = 0.98
-PREFIX = 10
+PREFIX = 12
 SHARED = 2
 LEAST_PIVOTS = 64
 MOST_PIVOTS = 4096

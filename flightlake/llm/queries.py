@@ -12,6 +12,7 @@ from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
 from flightlake.llm.pieces import encode_documents
 from flightlake.llm.quality import quality_table
+from flightlake.llm.substring_dedup import remove_repeats
 from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
 
 
@@ -53,6 +54,11 @@ def op9_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_url_filter_cascade": op2_url_filter_cascade,
@@ -62,6 +68,7 @@ QUERIES = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_pivots": op9_embedding_pivots,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
     "op2_url_filter_cascade": f"""
