@@ -11,6 +11,7 @@ from flightlake.llm.line_dedup import deduplicated
 from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
 from flightlake.llm.pieces import encode_documents
+from flightlake.llm.pii import find_personal_data, fit_tagger
 from flightlake.llm.quality import quality_table
 from flightlake.llm.substring_dedup import remove_repeats
 from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
@@ -28,6 +29,11 @@ def op2_url_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return find_personal_data(docs, fit_tagger(docs))
+
+
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_url_filter_cascade": op2_url_filter_cascade,
+    "op3_personal_data": op3_personal_data,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_quality_trees": op5_quality_trees,
     "op6_source_mixing": op6_source_mixing,
