@@ -522,3 +522,20 @@ def ngram_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     named = first.join(smallest, "root").select("node", "component_id")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return ids.join(named, "node", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def group_leaders(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of `docs` that stay when one document of each component is kept.
+
+    The document of the smallest id stays, once where its row is repeated; documents
+    without words are in no group and all stay.  All columns are kept.
+    """
+    found = ngram_components(docs, percent, shingle)
+    leads = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    kept = staged(
+        found.filter(leads).groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows")), "ngram_leaders"
+    )
+    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
+    once = joined.filter("__rows = 1").select(*[docs[c] for c in docs.columns])
+    again = joined.filter("__rows > 1").select(*[docs[c] for c in docs.columns])
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))

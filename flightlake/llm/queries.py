@@ -65,6 +65,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_url_filter_cascade": op2_url_filter_cascade,
@@ -76,6 +82,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_pivots": op9_embedding_pivots,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": pipeline,
 }
 SQL: dict[str, str] = {
     "op2_url_filter_cascade": f"""
