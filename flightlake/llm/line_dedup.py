@@ -360,9 +360,10 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) -
     return out.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) -> DataFrame:
-    """`docs` with `text` less the lines that repeat an earlier one, and `n_lines`, `n_removed`.
+def deduplicated(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS, counts: bool = True) -> DataFrame:
+    """`docs` with `text` less the lines that repeat an earlier one.
 
+    With `counts`, `n_lines` and `n_removed` are added, in place of columns of those names.
     Every row comes out once with its other columns.  Null text stays null and has no
     lines; a text may become empty.  Rows of equal id and text count as one document,
     so they keep the same lines; a null id comes before all others.  An empty table gives
@@ -376,8 +377,10 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) ->
     lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("__removed"), i))
     new = F.when(F.col("__removed").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    return docs.join(gone, same, "left").select(
-        *[new.alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.greatest(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    added = {
+        "n_lines": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "n_removed": F.greatest(F.size("__removed"), F.lit(0)).cast("long"),
+    }
+    own = [new.alias("text") if c == "text" else docs[c] for c in docs.columns if not (counts and c in added)]
+    extra = [c.alias(name) for name, c in added.items()] if counts else []
+    return docs.join(gone, same, "left").select(*own, *extra)

@@ -160,16 +160,20 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, slots: int = SLOTS, count: str
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
-    """The mix itself: each row as often as the schedule read it, to the nearest whole time."""
+    """The mix itself: each row of `docs` as often as the schedule read it, to the nearest whole time.
+
+    Rows of size 0 are not in the mix.  Rows of equal id, source and text appear equally often.
+    """
     share = mix_sources(docs, weights)
     times = F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-    copies = share.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), F.col("source").alias("of_source")).agg(
-        F.ceil(F.avg(times)).cast("int").alias("copies")
-    )
+    copies = share.groupBy(
+        F.col("doc_id").alias("__mix_id"), F.col("text_key").alias("__mix_text"), F.col("source").alias("__mix_source")
+    ).agg(F.ceil(F.avg(times)).cast("int").alias("__mix_copies"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("of_id"))
-        & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("of_text"))
-        & F.col("source").eqNullSafe(F.col("of_source"))
+        docs["doc_id"].cast("long").eqNullSafe(F.col("__mix_id"))
+        & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col("__mix_text"))
+        & docs["source"].cast("string").eqNullSafe(F.col("__mix_source"))
     )
-    repeated = docs.join(copies.filter("copies > 0"), same)
-    return repeated.withColumn("of_id", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[docs[c] for c in docs.columns])
+    repeated = docs.join(copies.filter("__mix_copies > 0"), same)
+    again = F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("__mix_copy")
+    return repeated.select(*[docs[c] for c in docs.columns], again).drop("__mix_copy")

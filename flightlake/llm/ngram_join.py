@@ -68,7 +68,7 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, n
 
 
 def _scan(size: int):
-    """(doc_id, node, set size) of every document."""
+    """(doc_id, text_key, node, set size) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,8 +77,8 @@ def _scan(size: int):
                 nodes.append(node)
                 sizes.append(np.diff(bounds))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
-                names=["doc_id", "node", "n_shingles"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(np.concatenate(nodes)),
+                 pa.array(np.concatenate(sizes))], names=["doc_id", "text_key", "node", "n_shingles"])
 
     return run
 
@@ -326,12 +326,13 @@ class PrefixForest:
             level["most"] = np.zeros(n, np.int64)
             level["least"] = np.full(n, np.iinfo(np.int64).max)
             level["last"] = np.full(n, -1)
-            level["set"] = np.full(n, -1)
             np.maximum.at(level["most"], inverse, length[live])
             np.minimum.at(level["least"], inverse, full[live])
             np.maximum.at(level["last"], inverse, live)
             ends = length[live] == depth + 1
-            level["set"][inverse[ends]] = live[ends]
+            order = np.argsort(inverse[ends], kind="stable")  # sets that differ in unshared tokens end alike
+            level["sets"] = live[ends][order]
+            level["sets_first"] = np.searchsorted(inverse[ends][order], np.arange(n + 1))
             self.levels.append(level)
             parent[live] = inverse
             live = live[~ends]
@@ -355,10 +356,13 @@ class PrefixForest:
                 keep = level["last"][node] > query
                 query, shared, node = query[keep], shared[keep], node[keep]
             shared = shared + mark[place[query] + level["code"][node]]
-            ends = level["set"][node]
-            hit = (ends >= 0) & ((ends > query) if ordered else (ends != query))
-            hit &= (100 + percent) * shared >= percent * (full[query] + full[ends])
-            found_q.append(query[hit])
+            low = level["sets_first"][node]
+            many = level["sets_first"][node + 1] - low
+            who = np.repeat(np.arange(len(node)), many)
+            ends = level["sets"][np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + low[who]]
+            hit = (ends > query[who]) if ordered else (ends != query[who])
+            hit &= (100 + percent) * shared[who] >= percent * (full[query[who]] + full[ends])
+            found_q.append(query[who][hit])
             found_s.append(ends[hit])
             size = full[query]
             smallest = np.maximum(level["least"][node], -(-size * percent // 100))
@@ -465,10 +469,16 @@ def ngram_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     documents have none.  Other columns are ignored; an empty table gives an
     empty result.
     """
+    return _grouped(docs, percent, shingle).drop("text_key")
+
+
+def _grouped(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id); the key is a hash of the text."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = staged(texts.mapInArrow(_scan(shingle), "doc_id long, node long, n_shingles long"), "ngram_ids")
+    keyed = texts.withColumn("text_key", F.xxhash64("text"))
+    ids = staged(keyed.mapInArrow(_scan(shingle), "doc_id long, text_key long, node long, n_shingles long"), "ngram_ids")
     keys = texts.mapInArrow(
         _segments(shingle, percent, 8 * parts), "bucket int, keys binary, nodes binary, roots binary"
     )
@@ -521,21 +531,23 @@ def ngram_components(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     smallest = first.groupBy("root").agg(F.min("first").alias("component_id"))
     named = first.join(smallest, "root").select("node", "component_id")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return ids.join(named, "node", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return ids.join(named, "node", "left").select("doc_id", "text_key", "n_shingles", own.alias("component_id"))
 
 
 def group_leaders(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
     """The rows of `docs` that stay when one document of each component is kept.
 
     The document of the smallest id stays, once where its row is repeated; documents
-    without words are in no group and all stay.  All columns are kept.
+    without words are in no group and stay, once for each id.  All columns are kept.
     """
-    found = ngram_components(docs, percent, shingle)
-    leads = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    found = _grouped(docs, percent, shingle)
+    leads = (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = staged(
-        found.filter(leads).groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows")), "ngram_leaders"
-    )
-    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
+        found.filter(leads).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.count("text_key").alias("__rows")),
+        "ngram_leaders",
+    )
+    key = F.xxhash64(docs["text"].cast("string"))
+    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")))
     once = joined.filter("__rows = 1").select(*[docs[c] for c in docs.columns])
     again = joined.filter("__rows > 1").select(*[docs[c] for c in docs.columns])
     return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
