@@ -212,8 +212,8 @@ class Tagger:
             grads[f"x{side}"], grads[f"h{side}"] = gx, gh
         return float((total - gold).mean()), grads
 
-    def fit(self, x: np.ndarray, tags: np.ndarray, steps: int = 160, batch: int = 96, rate: float = 0.02, seed: int = 11) -> list[float]:
-        """Adam over shuffled batches; returns the losses."""
+    def fit(self, x: np.ndarray, tags: np.ndarray, steps: int = 360, batch: int = 64, rate: float = 0.06, seed: int = 11) -> list[float]:
+        """Adam over shuffled batches, its rate falling to nothing; returns the losses."""
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.w.items()}
         second = {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -225,13 +225,14 @@ class Tagger:
             at += batch
             loss, grads = self.gradients(x[rows], tags[rows])
             losses.append(loss)
+            now = rate * 0.5 * (1 + np.cos(np.pi * (step - 1) / steps))
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
             for name, g in grads.items():
                 g = g * min(1.0, 5.0 / max(norm, 1e-9))
                 first[name] = 0.9 * first[name] + 0.1 * g
                 second[name] = 0.99 * second[name] + 0.01 * g * g
                 step_size = (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
-                self.w[name] = (self.w[name] - rate * step_size).astype(np.float32)
+                self.w[name] = (self.w[name] - now * step_size).astype(np.float32)
         return losses
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -332,7 +333,7 @@ def fit_tagger(docs: DataFrame, windows: int = TRAIN_WINDOWS) -> Tagger | None:
     x = np.array([np.frombuffer(r.x, np.uint8) for r in rows])
     y = np.array([np.frombuffer(r.y, np.uint8) for r in rows]).astype(np.int64)
     tagger = Tagger.fresh()
-    tagger.fit(x, y, batch=min(96, len(x)))
+    tagger.fit(x, y, batch=min(64, len(x)))
     return tagger
 
 

@@ -33,7 +33,7 @@ from flightlake.session import staged
 
 WINDOW = 50
 GRAM = 10
-_FLUSH = 1 << 19
+_FLUSH = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -174,21 +174,26 @@ def _regions(window: int, gram: int):
     """(anchor, doc_id, key, low, words) for the references of each text; 32 bits a word."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            ids, keys, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "key", "wanted"))
-            for first, t in _text_blocks(batch):
-                for r in range(len(t.bounds) - 1):
-                    words = (t.words[t.bounds[r] : t.bounds[r + 1]] >> np.uint64(32)).astype(np.uint32)
-                    for want in wanted[first + r]:
-                        low = max(want["place"] - (window - gram), 0)
-                        out.append((want["anchor"], ids[first + r], keys[first + r], low, words[low : want["place"] + window].tobytes()))
+        def rows(out: list) -> pa.RecordBatch:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)],
                 names=["anchor", "doc_id", "key", "low", "words"],
             )
 
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):  # a text has many regions
+                part, out = batch.slice(at, 200), []
+                ids, keys, wanted = (part.column(c).to_pylist() for c in ("doc_id", "key", "wanted"))
+                for first, t in _text_blocks(part):
+                    for r in range(len(t.bounds) - 1):
+                        words = (t.words[t.bounds[r] : t.bounds[r + 1]] >> np.uint64(32)).astype(np.uint32)
+                        for want in wanted[first + r]:
+                            low = max(want["place"] - (window - gram), 0)
+                            region = words[low : want["place"] + window].tobytes()
+                            out.append((want["anchor"], ids[first + r], keys[first + r], low, region))
+                yield rows(out)
+
     return run
 
 
