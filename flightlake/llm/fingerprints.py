@@ -119,21 +119,24 @@ def fingerprint_pairs(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     all others.  A text without words has an empty fingerprint.  Other columns are ignored;
     an empty table gives an empty result.
     """
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a word takes some 40 times its bytes while it is counted and sampled, so ranges are small
+    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.coalesce(F.col("doc_id"), F.expr(f"{_LEAST + 1}L - 1L"))
     rows = docs.select(
-        F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.expr(f"{_LEAST + 1}L - 1L")).alias("at"),
-    )
-    bounds, largest, following = _ranges(rows.select("at"), parts)
+        F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    bounds, largest, following = _ranges(rows.select(at.alias("at")), parts)
     here = F.struct(F.col("range"), F.lit(False).alias("sent"))
     to = F.struct(F.get(_numbers(following, "int"), F.col("range")).alias("range"), F.lit(True).alias("sent"))
     ends = F.get(_numbers(largest, "long"), F.col("range")) == F.col("at")
     dealt = (
-        rows.withColumn("range", _range_of(bounds))
+        rows.withColumn("at", at)
+        .withColumn("range", _range_of(bounds))
         .withColumn("d", F.explode(F.when(ends, F.array(here, to)).otherwise(F.array(here))))
-        .select("doc_id", "text", "at", "d.range", "d.sent")
+        .select("doc_id", "text", "d.range", "d.sent")
+        .repartition(parts, "range")  # both uses below need the same columns, so it is one exchange
     )
-    line = Window.partitionBy("range").orderBy(F.col("sent").desc(), "at", "text")
+    line = Window.partitionBy("range").orderBy(F.col("sent").desc(), at, "text")
     placed = dealt.withColumns({"n": F.row_number().over(line), "next": F.lag("text").over(line)})
     n_chars = F.length("text").cast("long")
     cut = F.floor(n_chars / 3)

@@ -236,12 +236,14 @@ class Tagger:
         return losses
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best tags of each window and, by position, how far they are above O."""
+        """Best tags of each window and, by position, how far they are above O.
+
+        A window may open inside a span that began before it.
+        """
         e = self.emissions(x)[0]
         move = self.transitions()
         width, n, _ = e.shape
         score, back = e[0].copy(), np.zeros((width, n, _TAGS), np.int8)
-        score[:, 2::2] = -1e4  # a span does not begin inside
         for t in range(1, width):
             all_ = score[:, :, None] + move
             back[t] = all_.argmax(1)
@@ -251,7 +253,9 @@ class Tagger:
         for t in range(width - 1, 0, -1):
             tags[:, t - 1] = back[t][np.arange(n), tags[:, t]]
         chosen = np.take_along_axis(e, tags.T[:, :, None], 2)[:, :, 0]
-        return tags, (chosen - e[:, :, 0]).T
+        gain = (chosen - e[:, :, 0]).T
+        gain[:, 1:] += move[tags[:, :-1], tags[:, 1:]] - move[0, 0]
+        return tags, gain
 
 
 def plausible(kind: int, text: str) -> bool:
@@ -259,7 +263,7 @@ def plausible(kind: int, text: str) -> bool:
     n = len(_digits(text))
     if kind == 0:
         return "@" in text[1:-1]
-    return n >= 4 and text.count(".") >= 3 if kind == 1 else 13 <= n <= 19 if kind == 2 else 9 <= n <= 15
+    return n >= 4 and text.count(".") >= 3 if kind == 1 else 13 <= n <= 19 and luhn(_digits(text)) if kind == 2 else 9 <= n <= 15
 
 
 def window_spans(starts, tags, margin, length: int) -> list[tuple[float, Span]]:
@@ -275,7 +279,7 @@ def window_spans(starts, tags, margin, length: int) -> list[tuple[float, Span]]:
                 continue
             span = ((int(row[t]) - 1) // 2, start + t, min(start + end, length))
             out[span] = max(out.get(span, 0.0), float(gain[t:end].sum()))
-    return [(w, s) for s, w in out.items() if w > s[2] - s[1]]
+    return [(w, s) for s, w in out.items() if w > 0]
 
 
 def reconcile(candidates: list[tuple[float, Span]], taken: list[Span]) -> list[Span]:
@@ -314,9 +318,7 @@ def _training(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     tags[start] = 1 + 2 * kind
             starts = window_starts(code)
             for x, s in zip(cut(code, starts), starts.tolist()):
-                y = tags[s : s + WIDTH].copy()
-                y[: int(np.argmax(y % 2 == 1)) if (y % 2 == 1).any() else WIDTH] = 0  # begun before the window
-                out.append((x.tobytes(), y.tobytes()))
+                out.append((x.tobytes(), tags[s : s + WIDTH].tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)], names=["x", "y"]
         )
