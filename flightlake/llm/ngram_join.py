@@ -46,7 +46,7 @@ BLOCK_TOKENS = 1 << 19
 #: seeds by the largest set size of the class
 SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
 #: documents of one segment that are paired with each other
-GROUP = 16
+GROUP = 64
 _FLUSH = 1 << 20
 _SHORT = (1 << 40) - 1
 _MARK = 1 << 25
@@ -217,6 +217,12 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     y.append(node[np.flatnonzero(crowded) - 1])
     x, y = local_roots(np.concatenate(x), np.concatenate(y))
     a, b, low = [x[x != y]], [y[x != y]], []
+
+    def joined(nodes: np.ndarray) -> np.ndarray:
+        """The chain a node is in, itself where it is in none."""
+        at = np.minimum(np.searchsorted(x, nodes), max(len(x) - 1, 0))
+        return np.where(x[at] == nodes, y[at], nodes) if len(x) else nodes
+
     for step in range(1, GROUP):
         some = (width > step) & (width <= GROUP)
         if not some.any():
@@ -225,7 +231,7 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.repeat(start[some] - (np.cumsum(count) - count), count) + np.arange(count.sum())
         low.append(np.unique((np.stack([node[at], node[at + step]])), axis=1))
     pairs = np.unique(np.concatenate(low, axis=1), axis=1) if low else np.zeros((2, 0), np.int64)
-    pairs = pairs[:, pairs[0] != pairs[1]]
+    pairs = pairs[:, joined(pairs[0]) != joined(pairs[1])]  # what a chain joins needs no pairs
     sure = np.repeat([True, False], [len(a[0]), pairs.shape[1]])
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([a[0], pairs[0]])), pa.array(np.concatenate([b[0], pairs[1]])), pa.array(sure)],
