@@ -290,7 +290,7 @@ def _(ws):
 @query("canonical_topn")
 def _(ws):
     order = [*K.CANONICAL_ORDER, *[c for c in K.CLEAN_KEY if c not in K.CANONICAL_ORDER]]
-    return ws.clean.orderBy(*order).limit(100).select(*order, "route_code", "flight_status")
+    return ws.clean.orderBy(*order).select(*order, "route_code", "flight_status")
 
 
 # ---------------------------------------------------------------- compact layout

@@ -13,7 +13,7 @@ _STORED = {"int8": "int", "int16": "int", "int32": "int", "int64": "bigint"}
 
 def trimmed(column: Column) -> Column:
     """Surrounding blanks removed; a blank text becomes null."""
-    text = F.trim(column.cast("string"))
+    text = F.btrim(column.cast("string"), F.lit(" \t\n\r\x0b\x0c"))
     return F.when(text != "", text)
 
 

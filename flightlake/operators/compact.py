@@ -104,7 +104,7 @@ def clean_compact(raw: DataFrame, month: int | None = None) -> DataFrame:
     if missing:
         raise ValueError(f"Cleaning stopped because source columns are missing: {missing}")
     if month is not None:
-        raw = raw.filter(F.col("MONTH") == month)
+        raw = raw.filter(casts.number(raw, "MONTH") == month)
     # parse every number once; everything below only refers to the parsed columns
     rows = raw.dropDuplicates().select(
         *[F.col(c) if c in _TEXT else casts.number(raw, c).alias(c) for c in COMPACT_COLUMNS]

@@ -48,7 +48,7 @@ def _row_rules(year: int, month: int) -> list[Rule]:
     in_period = (_n("YEAR") == year) & (_n("MONTH") == month)
     rules += [
         Rule(
-            "selected_period_is_january_2024" if (year, month) == (2024, 1) else "selected_period",
+            "selected_period",
             ~F.coalesce(in_period, F.lit(False)),
             f"All rows belong to {year}-{month:02d}.",
         ),

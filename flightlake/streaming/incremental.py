@@ -46,11 +46,14 @@ def fingerprint(raw: DataFrame) -> str:
     """Content hash of a batch that ignores file names, file count and row order.
 
     Two independent row hashes are summed and xor-ed in one distributed
-    aggregate, so no file is ever read into one task as a whole.
+    aggregate, so no file is ever read into one task as a whole.  The hashes skip
+    nulls, so each value is preceded by whether it is one; names are part of it.
     """
-    columns = [F.col(c).cast("string") for c in sorted(raw.columns)]
-    one = F.xxhash64(*columns)
-    two = F.xxhash64(F.lit("second"), *columns)
+    names = sorted(raw.columns)
+    columns = [c for n in names for c in (F.col(n).isNull(), F.col(n).cast("string"))]
+    one = F.xxhash64(F.lit("|".join(names)), *columns)
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("-")) for n in names]
+    two = F.conv(F.substring(F.md5(F.to_json(F.array(F.lit("|".join(names)), *marked))), 1, 15), 16, 10).cast("bigint")
     row = raw.select(one.alias("a"), two.alias("b")).agg(
         F.count(F.lit(1)).cast("string"),
         F.sum(F.col("a").cast("decimal(38,0)")).cast("string"),
@@ -87,12 +90,16 @@ def is_loaded(spark: SparkSession, target: str, mark: str) -> bool:
     return not done.isEmpty()
 
 
-def new_facts(facts: DataFrame, existing: DataFrame) -> DataFrame:
+def new_facts(facts: DataFrame, existing: DataFrame, period: tuple[int, int] | None = None) -> DataFrame:
     """Facts whose natural key is not in `existing`.
 
-    Only the months of the batch are compared: `year` and `month` are partition
-    columns, so the other folders are never read.
+    Only the months of the batch are compared.  With `period`, the one (year, month) that
+    all facts have, the partition columns are compared with literals, so the files of
+    other months are not even listed.
     """
+    if period is not None:
+        same = existing.filter((F.col("year") == period[0]) & (F.col("month") == period[1]))
+        return facts.join(same.select(*FACT_NATURAL_KEY), FACT_NATURAL_KEY, "left_anti")
     months = facts.select("year", "month").distinct()
     same_months = existing.join(F.broadcast(months), ["year", "month"], "left_semi")  # <= 12 a year
     return facts.join(same_months.select(*FACT_NATURAL_KEY), FACT_NATURAL_KEY, "left_anti")
@@ -130,7 +137,7 @@ def _check_batch(clean: DataFrame, year: int, month: int) -> int:
     return found["n"]
 
 
-def _append(clean: DataFrame, target: str, batch: str) -> int:
+def _append(clean: DataFrame, target: str, batch: str, period: tuple[int, int] | None = None) -> int:
     """Write and publish the new facts of a clean month; returns how many there are."""
     spark = clean.sparkSession
     version, loads = published_loads(spark, target)
@@ -141,7 +148,7 @@ def _append(clean: DataFrame, target: str, batch: str) -> int:
     facts = fact_rows(clean, dims.dim_airline, dims.dim_airport, ["year", "month"])
     top = star.fact_flight.agg(F.coalesce(F.max("flight_key"), F.lit(0))).first()[0]
     # unique, increasing keys after the highest one; written once, so they stay fixed
-    keyed = new_facts(facts, star.fact_flight).withColumn(
+    keyed = new_facts(facts, star.fact_flight, period).withColumn(
         "flight_key", F.monotonically_increasing_id() + top + 1
     )
     path = load_path(target, "fact_flight", batch)
@@ -176,9 +183,9 @@ def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
         write_clean_table(clean_flights(raw), clean_path)
         clean = read_clean_table(spark, clean_path)
         rows = _check_batch(clean, year, month)
-        added = _append(clean, target, batch)
+        added = _append(clean, target, batch, (year, month))
     except Exception as error:
-        _record(spark, target, **common, status="failed", error_message=str(error)[:1000])
+        _record(spark, target, **common, status="failed", error_message=str(error))
         raise
     _record(
         spark,

@@ -291,4 +291,4 @@ onerow AS MATERIALIZED (SELECT {_counts} FROM clean)
 _key_order = """flight_date, reporting_airline_id, flight_number, origin_airport_id,
 scheduled_departure_time, destination_airport_id"""
 SQL["canonical_topn"] = f"""{CLEAN}
-SELECT {_key_order}, route_code, flight_status FROM clean ORDER BY {_key_order} LIMIT 100"""
+SELECT {_key_order}, route_code, flight_status FROM clean ORDER BY {_key_order}"""

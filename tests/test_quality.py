@@ -33,7 +33,7 @@ def test_raw_suite_counts_faults(raw):
     )
     assert failures(validate_raw(source)) == {
         "month_matches_flight_date": 1,
-        "selected_period_is_january_2024": 1,
+        "selected_period": 1,
         "no_exact_duplicate_rows": 1,
         "unique_flight_keys": 2,
         "non_negative_measurements": 1,
