@@ -46,7 +46,7 @@ BLOCK_TOKENS = 1 << 19
 #: seeds by the largest set size of the class
 SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
 #: documents of one segment that are paired with each other
-GROUP = 64
+GROUP = 32
 _FLUSH = 1 << 20
 _SHORT = (1 << 40) - 1
 _MARK = 1 << 25
