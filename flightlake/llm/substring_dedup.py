@@ -290,7 +290,7 @@ def _matched(window: int):
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, n_words, n_removed, kept): words of each text outside its spans."""
-    for batch in batches:
+    for batch in (b.slice(at, 250) for b in batches for at in range(0, b.num_rows, 250)):
         n_words, n_removed, kept = [], [], []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             words = (text or "").encode("utf-8", "surrogatepass").split()
