@@ -57,7 +57,7 @@ def test_empty_clean_table_fails(raw):
 
 
 def test_warnings_do_not_fail(raw):
-    results = validate_raw(raw(dict(DEST_AIRPORT_ID="12478")))
+    results = validate_raw(raw(dict(DEST_AIRPORT_ID="10721")))
     assert overall(results).first()["overall_status"] == "PASS WITH WARNINGS"
     require_pass(results, "Raw suite")
 

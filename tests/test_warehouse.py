@@ -15,9 +15,9 @@ from flightlake.warehouse.fact import fact_rows
 
 BACK = dict(
     FL_DATE="01/02/2024 12:00:00 AM", DAY_OF_MONTH="2", OP_CARRIER_FL_NUM="11",
-    ORIGIN_AIRPORT_ID="12892", ORIGIN="LAX", ORIGIN_CITY_NAME="Los Angeles, CA",
-    ORIGIN_STATE_ABR="CA", ORIGIN_STATE_NM="California", DEST_AIRPORT_ID="12478", DEST="JFK",
-    DEST_CITY_NAME="New York, NY", DEST_STATE_ABR="NY", DEST_STATE_NM="New York",
+    ORIGIN_AIRPORT_ID="14747", ORIGIN="SEA", ORIGIN_CITY_NAME="Seattle, WA",
+    ORIGIN_STATE_ABR="WA", ORIGIN_STATE_NM="Washington", DEST_AIRPORT_ID="10721", DEST="BOS",
+    DEST_CITY_NAME="Boston, MA", DEST_STATE_ABR="MA", DEST_STATE_NM="Massachusetts",
 )
 
 
@@ -46,7 +46,7 @@ def test_airline_dimension_rejects_conflicting_codes(raw):
 def test_airport_dimension_joins_both_roles(raw):
     dimension = dimensions.airport_dimension(clean_flights(raw({}, BACK)))
     rows = dimension.orderBy("airport_key").select("airport_key", "airport_id").collect()
-    assert [tuple(r) for r in rows] == [(1, 12478), (2, 12892)]
+    assert [tuple(r) for r in rows] == [(1, 10721), (2, 14747)]
 
 
 def test_airport_dimension_rejects_missing_code_and_conflicts(raw):
@@ -67,14 +67,14 @@ def test_load_input_needs_required_values(raw):
 
 def test_fact_maps_surrogate_keys(spark, raw):
     clean = clean_flights(raw({}, BACK))
-    airlines = spark.sql("SELECT 19805 AS reporting_airline_id, 7 AS airline_key")
-    airports = spark.sql("SELECT * FROM VALUES (12478, 11), (12892, 12) AS t(airport_id, airport_key)")
+    airlines = spark.sql("SELECT 20409 AS reporting_airline_id, 7 AS airline_key")
+    airports = spark.sql("SELECT * FROM VALUES (10721, 11), (14747, 12) AS t(airport_id, airport_key)")
     rows = fact_rows(clean, airlines, airports, enforce=True).orderBy("date_key").collect()
     assert [r["airline_key"] for r in rows] == [7, 7]
     assert [r["origin_airport_key"] for r in rows] == [11, 12]
     assert [r["destination_airport_key"] for r in rows] == [12, 11]
     with pytest.raises(ValueError, match="could not be matched"):
-        fact_rows(clean, airlines, airports.filter("airport_id = 12478"), enforce=True)
+        fact_rows(clean, airlines, airports.filter("airport_id = 10721"), enforce=True)
 
 
 def test_upsert_keeps_known_keys(spark):
