@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.llm.graph import passes, sieve
-from flightlake.llm.words import blocks, bucket_of, bytes_of, grams, hash_spans, mix, word_spans
+from flightlake.llm.words import _tables, blocks, bucket_of, bytes_of, grams, hash_spans, mix, word_spans
 from flightlake.session import staged
 
 WINDOW = 50
 GRAM = 10
 _FLUSH = 1 << 18
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -47,6 +46,14 @@ def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def run_sums(words: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Sums over words[low:high] that depend on these words alone, not on where they stand."""
+    power, inverse = _tables(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return (total[high] - total[low]) * inverse[low]
+
+
 def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
     """Word numbers where an anchor starts, over rows bounded by `bounds`."""
     span = window - gram + 1
@@ -104,12 +111,7 @@ def _found(window: int, gram: int, buckets: int):
                 row = np.searchsorted(t.bounds, at, "right") - 1
                 low = np.maximum(at - (window - gram), t.bounds[row])
                 high = np.minimum(at + window, t.bounds[row + 1])
-                powers = np.full(len(t.words) + 1, _STEP, np.uint64)
-                powers[0] = 1
-                powers = np.cumprod(powers)
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(t.words * powers[:-1])])
-                # brought to one power instead of divided: the sum stands len - low places up
-                digest = mix((total[high] - total[low]) * powers[len(t.words) - low] + (at - low).astype(np.uint64))
+                digest = mix(run_sums(t.words, low, high) + (at - low).astype(np.uint64))
                 digest ^= mix((high - low).astype(np.uint64))
                 value = grams(t.words, gram)[at]
                 held.append((value, digest, ids[first + row].astype(np.int64), t.key[row], (at - t.bounds[row]).astype(np.int32)))

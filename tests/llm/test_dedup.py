@@ -7,13 +7,14 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flightlake.llm import ngram_join
 from flightlake.llm.embedding_dedup import embedding_links
 from flightlake.llm.line_dedup import deduplicated, within
 from flightlake.llm.ngram_join import group_leaders, ngram_components, segment_keys, size_classes
-from flightlake.llm.substring_dedup import SuffixAutomaton, anchors, remove_repeats
+from flightlake.llm.substring_dedup import SuffixAutomaton, _found, anchors, remove_repeats
 from tests_llm import edit_distance, kept_lines, ngram_groups
 
 CLASHING = "doc_id long, text string, node string, key string, bucket string, root int, n int, n_lines string, spans int"
@@ -194,6 +195,20 @@ def test_equal_windows_have_equal_anchors():
     assert inside(first) == inside(second) and first & second
 
 
+def test_equal_surroundings_have_equal_digests_in_any_block():
+    rng = random.Random(4)
+    passage = [str(rng.random()) for _ in range(200)]
+    seen = []
+    for extra in (0, 1, 57):  # each batch is a block of another word count
+        texts = [" ".join(str(rng.random()) for _ in range(90 + extra)), " ".join(passage)]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["doc_id", "text"])
+        packed = pa.Table.from_batches(_found(50, 10, 1)([batch])).to_pydict()
+        anchor, around = (np.frombuffer(b"".join(packed[c]), np.uint64) for c in ("anchor", "around"))
+        mine = np.frombuffer(b"".join(packed["doc_id"]), np.int64) == 2
+        seen.append(set(zip(anchor[mine].tolist(), around[mine].tolist())))
+    assert len(seen[0]) > 3 and seen[0] == seen[1] == seen[2]
+
+
 def test_suffix_automaton_spans():
     rng = random.Random(1)
     for _ in range(60):
