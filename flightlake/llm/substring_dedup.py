@@ -13,6 +13,9 @@ covered by repeats go.
 3. A shard builds a suffix automaton of its references, document by document in the order
    of their ids; each is streamed first against what stands there, and where the
    matching statistics reach WINDOW, the maximal spans are repeats.
+4. An anchor with more than CROWD references would be one task's work.  Their windows that
+   have it as their anchor are dealt by their own hash instead: the smallest document of
+   each is found before the shuffle, and larger documents with it have a repeat.
 
 The automata are not broadcast: the repeated text of a corpus has no size bound.  They are
 built in the task of their shard, and the text that can match comes to them.
@@ -33,6 +36,8 @@ from flightlake.session import staged
 
 WINDOW = 50
 GRAM = 10
+#: most references of one anchor that go to one automaton
+CROWD = 64
 _FLUSH = 1 << 18
 
 
@@ -148,10 +153,12 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first_doc = doc[np.flatnonzero(kind_new)]  # sorted by id within its kind
     reference = doc == first_doc[kind]
     mixed = (np.bincount(group[kind_new], minlength=len(start)) > 1)[group]
+    crowd = (np.bincount(group[reference], minlength=len(start)) > CROWD)[group]
     for repeat, some in ((True, several & ~reference), (False, several & reference & mixed)):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(int(some.sum()), repeat)), pa.array(anchor[some].view(np.int64)), pa.array(doc[some]),
-             pa.array(key[some]), pa.array(place[some])], names=["repeat", "anchor", "doc_id", "key", "place"])
+            [pa.array(np.full(int(some.sum()), repeat)), pa.array(crowd[some]), pa.array(anchor[some].view(np.int64)),
+             pa.array(doc[some]), pa.array(key[some]), pa.array(place[some])],
+            names=["repeat", "crowd", "anchor", "doc_id", "key", "place"])
 
 
 def _keyed(bits=None):
@@ -199,6 +206,38 @@ def _regions(window: int, gram: int):
     return run
 
 
+def _windows(window: int, gram: int):
+    """(anchor, window, doc_id, key, low) for each window of the references that has their anchor."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):  # a text has many windows
+                part = batch.slice(at, 200)
+                ids, keys, wanted = (part.column(c).to_pylist() for c in ("doc_id", "key", "wanted"))
+                for first, t in _text_blocks(part):
+                    if len(t.words) < window:
+                        continue
+                    value = grams(t.words, gram) | np.uint64(1)
+                    least = _sliding(value, window - gram + 1, np.minimum)
+                    for r in range(len(t.bounds) - 1):
+                        if not wanted[first + r]:
+                            continue
+                        place = np.array([w["place"] for w in wanted[first + r]], np.int64) + t.bounds[r]
+                        starts = place[:, None] - np.arange(window - gram, -1, -1)
+                        inside = (starts >= t.bounds[r]) & (starts + window <= t.bounds[r + 1])
+                        own = inside & (least[np.where(inside, starts, 0)] == value[place][:, None])
+                        low = np.unique(starts[own])
+                        anchor = least[low]
+                        digest = mix(run_sums(t.words, low, low + window)) ^ mix(anchor)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64)),
+                             pa.array(np.full(len(low), ids[first + r], np.int64)), pa.array(np.full(len(low), keys[first + r], np.int64)),
+                             pa.array((low - t.bounds[r]).astype(np.int32))],
+                            names=["anchor", "window", "doc_id", "key", "low"])
+
+    return run
+
+
 class SuffixAutomaton:
     """Automaton of all substrings of the word sequences added so far."""
 
@@ -318,16 +357,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         "bucket int, anchor binary, around binary, doc_id binary, key binary, place binary",
     )
     shared = staged(
-        packed.repartition(parts, "bucket").mapInArrow(_compared, "repeat boolean, anchor long, doc_id long, key long, place int"),
+        packed.repartition(parts, "bucket").mapInArrow(
+            _compared, "repeat boolean, crowd boolean, anchor long, doc_id long, key long, place int"
+        ),
         "span_anchors",
     )
-    whole = shared.filter("repeat").select(
+    found = shared.filter("repeat").select(
         "doc_id", "key", (F.col("place") - (window - gram)).alias("low"), (F.col("place") + window).alias("high")
     )
-    wanted = shared.filter("NOT repeat").groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
-    bits = spark.sparkContext.broadcast(sieve(shared.filter("NOT repeat"), "key"))
-    needed = texts.mapInArrow(_keyed(bits), "doc_id long, text string, key long").dropDuplicates(["doc_id", "key"])
-    regions = needed.join(wanted, ["doc_id", "key"]).mapInArrow(
+    regions = _referred(texts, shared.filter("NOT repeat AND NOT crowd")).mapInArrow(
         _regions(window, gram), "anchor long, doc_id long, key long, low int, words binary"
     )
     matched = (
@@ -335,7 +373,38 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         .sortWithinPartitions("anchor", "doc_id")
         .mapInArrow(_matched(window), "doc_id long, key long, low int, high int")
     )
-    return whole.unionByName(matched)
+    found = found.unionByName(matched)
+    crowds = shared.filter("NOT repeat AND crowd")
+    return found if crowds.isEmpty() else found.unionByName(_crowded(texts, crowds, window, gram))
+
+
+def _referred(texts: DataFrame, references: DataFrame) -> DataFrame:
+    """Distinct texts with references, and those in `wanted`."""
+    wanted = references.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
+    bits = texts.sparkSession.sparkContext.broadcast(sieve(references, "key"))
+    needed = texts.mapInArrow(_keyed(bits), "doc_id long, text string, key long").dropDuplicates(["doc_id", "key"])
+    return needed.join(wanted, ["doc_id", "key"])
+
+
+def _crowded(texts: DataFrame, references: DataFrame, window: int, gram: int) -> DataFrame:
+    """Repeats (doc_id, key, low, high) of anchors with too many references for one task.
+
+    The windows are dealt by their own hash.  One that stands in very many documents is
+    combined before the shuffle; only windows of several documents are joined back, where
+    adaptive execution splits a large one, since both sides come from files.
+    """
+    windows = staged(
+        _referred(texts, references).mapInArrow(_windows(window, gram), "anchor long, window long, doc_id long, key long, low int"),
+        "span_windows",
+    )
+    first = staged(
+        windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        .filter("least < most").drop("most"),
+        "span_first",
+    )
+    return windows.join(first, ["anchor", "window"]).filter("doc_id > least").select(
+        "doc_id", "key", "low", (F.col("low") + window).alias("high")
+    )
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:

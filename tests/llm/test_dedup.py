@@ -10,11 +10,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from flightlake.llm import ngram_join
+from flightlake.llm import ngram_join, substring_dedup
 from flightlake.llm.embedding_dedup import embedding_links
 from flightlake.llm.line_dedup import deduplicated, within
 from flightlake.llm.ngram_join import group_leaders, ngram_components, segment_keys, size_classes
-from flightlake.llm.substring_dedup import SuffixAutomaton, _found, anchors, remove_repeats
+from flightlake.llm.substring_dedup import SuffixAutomaton, _compared, _found, anchors, remove_repeats
 from tests_llm import edit_distance, kept_lines, ngram_groups
 
 CLASHING = "doc_id long, text string, node string, key string, bucket string, root int, n int, n_lines string, spans int"
@@ -209,6 +209,38 @@ def test_equal_surroundings_have_equal_digests_in_any_block():
     assert len(seen[0]) > 3 and seen[0] == seen[1] == seen[2]
 
 
+def crowded_rows():
+    rng = random.Random(5)
+    word = lambda: str(rng.randrange(10**6))
+    passage = [word() for _ in range(70)]
+    rows = []
+    for i in range(100):  # one passage or a part of it, each time in other surroundings
+        a, b = rng.randint(0, 8), rng.randint(62, 70)
+        rows.append((100 - i, " ".join([*[word() for _ in range(45)], *passage[a:b], *[word() for _ in range(45)]])))
+    return rows
+
+
+def test_crowded_anchors_stay_out_of_the_automata():
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*crowded_rows())], names=["doc_id", "text"])
+    rows = pa.Table.from_batches(_compared(_found(50, 10, 1)([batch]))).to_pydict()
+    crowd = rows.get("crowd", [False] * len(rows["anchor"]))
+    sent = [a for a, c, repeat in zip(rows["anchor"], crowd, rows["repeat"]) if not repeat and not c]
+    assert any(crowd) and max((sent.count(a) for a in sent), default=0) <= 64
+
+
+@pytest.mark.parametrize("crowd", [None, 1])
+def test_crowded_passages(spark, monkeypatch, crowd):
+    if crowd:
+        monkeypatch.setattr(substring_dedup, "CROWD", crowd)
+    rows = [*crowded_rows(), (400, "z " * 150), (401, "z " * 200), (402, None)]
+    got = {}
+    for r in remove_repeats(rows_with_extras(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()))
+    want = removed_by_brute_force(rows, 50)
+    assert sum(v[0][1] > 0 for v in want.values()) > 90
+    assert {i: sorted(set(v)) for i, v in got.items()} == want
+
+
 def test_suffix_automaton_spans():
     rng = random.Random(1)
     for _ in range(60):
