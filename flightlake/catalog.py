@@ -101,8 +101,7 @@ class Workspace:
     def baselines(self) -> baselines.Baselines:
         return baselines.fit_baselines(self.train)
 
-    # short runs: the published settings are the defaults of BoostSettings
-    settings = models.BoostSettings(iterations=8, depth=4)
+    settings = models.BoostSettings()
 
     @cached_property
     def regressor(self):

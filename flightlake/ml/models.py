@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from flightlake.contracts import CLEAN_KEY, FEATURE_COLUMNS
 from flightlake.functions.metrics import rounded
 from flightlake.ml.features import TARGET_FLAG, TARGET_MINUTES
-from flightlake.session import staged
+from flightlake.session import stage_root, staged
 from flightlake.sources.files import path_exists
 
 
@@ -31,6 +31,10 @@ class BoostSettings:
 
 
 def _fit(train: DataFrame, learner, label: str) -> PipelineModel:
+    # the learner cuts the lineage of its residuals every few iterations, on the shared folder
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(stage_root(train.sparkSession))
     stages = [
         VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
@@ -49,6 +53,7 @@ def _shared(settings: BoostSettings) -> dict:
         "stepSize": settings.rate,
         "minInstancesPerNode": settings.min_leaf,
         "maxBins": 255,
+        "checkpointInterval": 10,
         "seed": settings.seed,
     }
 

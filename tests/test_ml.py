@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flightlake.catalog import Workspace
 from flightlake.contracts import FEATURE_COLUMNS
 from flightlake.ml import baselines, evaluate, features, models, score
 from flightlake.operators.ranks import exact_quantiles, running_totals
@@ -184,6 +185,11 @@ def test_boosted_models_and_importance(spark, parts, tmp_path):
             assert row["delay_probability"] == pytest.approx(min(max(expected, 0.04), 0.90))
 
 
+def test_queries_use_the_published_settings():
+    used = Workspace.settings
+    assert (used.iterations, used.depth, used.rate, used.min_leaf, used.seed) == (100, 6, 0.08, 30, 42)
+
+
 def test_scores_are_bounded_and_tiered(parts):
     _, test, stats = parts
     rows = score.score_report(score.score(test, stats), ["flight_number"]).collect()
