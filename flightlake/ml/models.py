@@ -9,12 +9,13 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.contracts import CLEAN_KEY, FEATURE_COLUMNS
 from flightlake.functions.metrics import rounded
 from flightlake.ml.features import TARGET_FLAG, TARGET_MINUTES
+from flightlake.operators.ranks import running_totals
 from flightlake.session import stage_root, staged
 from flightlake.sources.files import path_exists
 
@@ -98,36 +99,49 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
     return PipelineModel.load(path) if path_exists(spark, path) else None
 
 
+def _ranked_rows(test: DataFrame, sample_size: int | None, seed: int) -> DataFrame:
+    """Features and target of the test rows with a dense `_id` from 0, in the order of a hash of the key."""
+    keyed = test.select(
+        *FEATURE_COLUMNS,
+        TARGET_MINUTES,
+        F.struct(F.xxhash64(F.lit(seed), *CLEAN_KEY).alias("pick"), *CLEAN_KEY).alias("_order"),
+        F.lit(1).alias("_row"),
+    )
+    if sample_size is not None:
+        keyed = keyed.orderBy("_order").limit(sample_size)
+    ranked = running_totals(keyed, "_order", ["_row"], "importance_order")
+    # written, so that rows of one key have the same number wherever they are read
+    return staged(
+        ranked.select(*FEATURE_COLUMNS, TARGET_MINUTES, F.col("_row_before").alias("_id")), "importance_sample"
+    )
+
+
+def _shuffled(sample: DataFrame, repeats: int, seed: int) -> DataFrame:
+    """The rows once per repeat, each with the `_slot` whose row it is the donor of."""
+    copies = sample.withColumn("_repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)]))).withColumns(
+        {
+            "_order": F.struct("_repeat", F.xxhash64(F.lit(seed), "_repeat", "_id").alias("mixed"), "_id"),
+            "_row": F.lit(1),
+        }
+    )
+    ranked = running_totals(copies, "_order", ["_row"], "importance_donors")
+    return ranked.withColumn("_slot", F.col("_row_before") - F.col("_repeat") * F.lit(sample.count()))
+
+
 def permutation_importance(
     model: PipelineModel,
     test: DataFrame,
-    sample_size: int = 5000,
+    sample_size: int | None = None,
     repeats: int = 3,
     seed: int = 42,
 ) -> DataFrame:
-    """(feature, importance), normalised, from one scoring job.
+    """(feature, importance), normalised, from one scoring job over all test rows.
 
-    The sample is the feature's defined input (at most `sample_size` rows, chosen
-    by a hash of the key).  Each repeat pairs every sampled row with a shuffled
-    donor row; each feature then takes the donor's value in turn.
+    Each repeat pairs every row with a shuffled donor row; each feature then takes
+    the donor's value in turn.  `sample_size` keeps that many rows by a hash of the key.
     """
-    keyed = test.withColumn("_pick", F.xxhash64(F.lit(seed), *CLEAN_KEY))
-    columns = [*FEATURE_COLUMNS, TARGET_MINUTES]
-    sample = staged(
-        keyed.orderBy("_pick", *CLEAN_KEY)
-        .limit(sample_size)
-        .select(*columns, F.row_number().over(Window.orderBy("_pick")).alias("_id")),
-        "importance_sample",
-    )
-    # bounded by sample_size rows per repeat
-    shuffled = sample.withColumn(
-        "_repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)]))
-    ).withColumn(
-        "_slot",
-        F.row_number().over(
-            Window.partitionBy("_repeat").orderBy(F.xxhash64(F.lit(seed), "_repeat", "_id"))
-        ),
-    )
+    sample = _ranked_rows(test, sample_size, seed)
+    shuffled = _shuffled(sample, repeats, seed)
     donors = shuffled.select(
         "_repeat",
         F.col("_slot").alias("_id"),

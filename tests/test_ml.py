@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 import random
 
 import numpy as np
@@ -185,6 +186,22 @@ def test_boosted_models_and_importance(spark, parts, tmp_path):
             assert row["delay_probability"] == pytest.approx(min(max(expected, 0.04), 0.90))
 
 
+def test_importance_takes_every_test_row(spark, parts):
+    _, test, stats = parts
+    rows = features.add_features(test, stats)
+    size = inspect.signature(models.permutation_importance).parameters["sample_size"].default
+    assert size is None
+    sample = models._ranked_rows(rows, size, 42)
+    n = rows.count()
+    assert sorted(r["_id"] for r in sample.select("_id").collect()) == list(range(n))
+    slots = {}
+    for r in models._shuffled(sample, 3, 42).select("_repeat", "_id", "_slot").collect():
+        slots.setdefault(r["_repeat"], {})[r["_slot"]] = r["_id"]
+    assert len(slots) == 3 and slots[0] != slots[1] != slots[2]
+    for donors in slots.values():
+        assert sorted(donors) == sorted(donors.values()) == list(range(n))
+
+
 def test_queries_use_the_published_settings():
     used = Workspace.settings
     assert (used.iterations, used.depth, used.rate, used.min_leaf, used.seed) == (100, 6, 0.08, 30, 42)
