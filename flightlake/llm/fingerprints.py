@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 16
+SAMPLES = 128
 #: samples drawn side by side in one row; more would outgrow what the JVM compiles
 _SIDE = 4
 _LEAST = -(1 << 63)

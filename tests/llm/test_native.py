@@ -67,6 +67,14 @@ def test_fingerprints(spark):
     assert (sum(e * e for e in error) / len(error)) ** 0.5 < 0.6 / SAMPLES**0.5
 
 
+def test_likeness_error_is_small(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    gaps = check_fingerprints(rows, fingerprint_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    error = [near - true for true, near in gaps]
+    assert (sum(e * e for e in error) / len(error)) ** 0.5 < 0.06
+
+
 def test_fingerprints_of_one_and_none(spark):
     one = fingerprint_pairs(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")).collect()
     assert check_fingerprints([(1, "a b c d e f")], one) and one[0].near_next == 1.0
