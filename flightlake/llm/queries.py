@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm.embedding_dedup import embedding_links
+from flightlake.llm.exact_dedup import exact_groups
 from flightlake.llm.fingerprints import fingerprint_pairs
 from flightlake.llm.line_dedup import deduplicated
 from flightlake.llm.mixing import mix_sources
 from flightlake.llm.ngram_join import ngram_components
 from flightlake.llm.pieces import encode_documents
 from flightlake.llm.pii import find_personal_data, fit_tagger
+from flightlake.llm.prefix_trie import prefix_nodes
 from flightlake.llm.quality import quality_table
+from flightlake.llm.sql import EXACT_DEDUP, PREFIX_TRIE, TURN_REPAIR
 from flightlake.llm.substring_dedup import remove_repeats
+from flightlake.llm.turn_repair import repair_report
 from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
 
 
@@ -65,6 +69,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_nodes(_table(spark, sf_dir, "conversations"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(_table(spark, sf_dir, "conversations"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,9 +98,15 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_pivots": op9_embedding_pivots,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_exact_dedup": op13_exact_dedup,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_turn_repair": TURN_REPAIR,
+    "op13_exact_dedup": EXACT_DEDUP,
     "op2_url_filter_cascade": f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
