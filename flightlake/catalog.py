@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake import contracts as K
@@ -104,12 +104,41 @@ class Workspace:
     settings = models.BoostSettings()
 
     @cached_property
-    def regressor(self):
-        return models.fit_regressor(features.add_features(self.train, self.stats), self.settings)
+    def train_features(self) -> DataFrame:
+        return features.add_features(self.train, self.stats)
 
     @cached_property
-    def classifier(self):
-        return models.fit_classifier(features.add_features(self.train, self.stats), self.settings)
+    def test_features(self) -> DataFrame:
+        return features.add_features(self.test, self.stats)
+
+    @cached_property
+    def regressor(self) -> models.Ensemble:
+        return models.fit_regressor(self.train_features, self.settings)
+
+    @cached_property
+    def classifier(self) -> models.Ensemble:
+        return models.fit_classifier(self.train_features, self.settings)
+
+    @cached_property
+    def run(self) -> models.TrainingRun:
+        """The training run of both models, saved as one version and loaded again."""
+        rows = staged(_boosted(self), "boosted")
+        minutes, flag = features.TARGET_MINUTES, features.TARGET_FLAG
+        path = stage_path(self.spark, "training_runs")
+        models.save_run(
+            models.TrainingRun(
+                self.stats, self.classifier, self.regressor,
+                metrics=_tiers(
+                    self,
+                    evaluate.regression_metrics(rows, minutes, "model", "Boosted Delay Forecaster"),
+                    evaluate.classification_metrics(rows, flag, "model_rate", "Boosted Delay Classifier"),
+                ),
+                importance=models.permutation_importance(self.regressor.output, self.test_features),
+                residuals=evaluate.residual_analysis(rows, minutes, "model"),
+            ),
+            path,
+        )
+        return models.load_run(self.spark, path)
 
     @cached_property
     def test_scored(self) -> DataFrame:
@@ -779,6 +808,11 @@ def _(ws):
 @query("ml_tier_comparison")
 def _(ws):
     """Baseline tiers of both tasks in one long table."""
+    return _tiers(ws)
+
+
+def _tiers(ws, *more: DataFrame) -> DataFrame:
+    """(model, metric, value) of the statistic tiers and of further metric rows."""
     parts = []
     for frame in _regression_tiers(ws):
         names = [c for c in frame.columns if c != "model"]
@@ -786,44 +820,161 @@ def _(ws):
     naive = evaluate.classification_metrics(
         ws.test_scored, features.TARGET_FLAG, "naive_rate", "Naive Rate Baseline"
     )
-    names = [c for c in naive.columns if c != "model"]
-    parts.append(naive.unpivot(["model"], names, "metric", "value"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    for frame in (naive, *more):
+        names = [c for c in frame.columns if c != "model"]
+        parts.append(frame.unpivot(["model"], names, "metric", "value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _boosted(ws) -> DataFrame:
+    """Test flights with the minutes and the probability of the boosted models."""
+    return models.predict(ws.classifier, models.predict(ws.regressor, ws.test_scored, "model"), "model_rate")
+
+
+@query("ml_hist_first_tree")
+def _(ws):
+    """Splits, gains and leaf values of the first boosted tree for minutes."""
+    first = models.fit_regressor(ws.train_features, models.BoostSettings(iterations=1)).table(ws.spark)
+    return first.filter("tree = 0").select(
+        "node", "feature", rounded(F.col("threshold"), 3).alias("threshold"), rounded(F.col("gain"), 2).alias("gain"),
+        "n", rounded(F.col("value"), 6).alias("value"),
+    )
 
 
 @query("ml_gbt_reg")
 def _(ws):
-    rows = models.predict_minutes(ws.regressor, ws.test_scored)
     metrics = evaluate.regression_metrics(
-        rows, features.TARGET_MINUTES, "model", "Boosted Delay Forecaster"
+        models.predict(ws.regressor, ws.test_scored), features.TARGET_MINUTES, "model", "Boosted Delay Forecaster"
     )
-    return _regression_tiers(ws)[0].unionByName(_regression_tiers(ws)[1]).unionByName(metrics)
+    first, second = _regression_tiers(ws)
+    return first.unionByName(second).unionByName(metrics)
 
 
 @query("ml_gbt_cls")
 def _(ws):
-    rows = models.predict_probability(ws.classifier, ws.test_scored, "model")
+    rows = models.predict(ws.classifier, ws.test_scored)
     return evaluate.classification_metrics(
         rows, features.TARGET_FLAG, "model", "Boosted Delay Classifier"
     )
 
 
+@query("ml_gbt_tiers")
+def _(ws):
+    """Both boosted tiers beside the statistic tiers, one line per model and metric."""
+    return ws.run.metrics
+
+
 @query("ml_gbt_residuals")
 def _(ws):
-    rows = models.predict_minutes(ws.regressor, ws.test_scored)
-    return evaluate.residual_analysis(rows, features.TARGET_MINUTES, "model")
+    return ws.run.residuals
 
 
 @query("ml_perm_importance")
 def _(ws):
-    rows = features.add_features(ws.test, ws.stats)
-    return models.permutation_importance(ws.regressor, rows)
+    """Importance of the boosted regressor over all test flights."""
+    return ws.run.importance
+
+
+@query("ml_rate_importance")
+def _(ws):
+    """Importance for a scorer made of fitted statistics alone."""
+    return models.permutation_importance(_rate_scorer, ws.test_features)
+
+
+def _rate_scorer(f: dict) -> Column:
+    """Minutes from the statistics of route and carrier, more in the peak hours."""
+    return 0.6 * f["route_avg_delay_minutes"] + 0.4 * f["carrier_avg_delay_minutes"] + 2.0 * f["is_peak_hour"]
 
 
 @query("ml_top_drivers")
 def _(ws):
-    rows = features.add_features(ws.test, ws.stats)
-    return models.top_drivers(models.permutation_importance(ws.regressor, rows))
+    return models.top_drivers(ws.run.importance, ws.spark)
+
+
+@query("ml_fallback_drivers")
+def _(ws):
+    """Drivers of a report whose model has no importance, shown for each risk level."""
+    report = score.with_drivers(_report(ws), None)
+    shown = F.concat_ws(";", F.transform("top_delay_drivers", lambda d: F.concat(d["feature"], F.lit("="), d["importance"])))
+    return report.groupBy("risk_level", shown.alias("drivers")).agg(F.count(F.lit(1)).alias("flights"))
+
+
+# Two small ensembles with fixed trees, so that SQL can walk the same nodes.
+FIXED_TREES = {
+    "squared": [
+        (-1, 1, None, None, None, None, 4.0, None, 0),
+        (0, 1, "route_avg_delay_minutes", 9.5, 2, 3, 0.0, None, 0),
+        (0, 2, "scheduled_departure_hour", 11.5, 4, 5, 0.0, None, 0),
+        (0, 3, None, None, None, None, 5.25, None, 0),
+        (0, 4, None, None, None, None, -6.5, None, 0),
+        (0, 5, None, None, None, None, 1.5, None, 0),
+        (1, 1, "carrier_avg_delay_minutes", 9.0, 2, 3, 0.0, None, 0),
+        (1, 2, None, None, None, None, -2.0, None, 0),
+        (1, 3, "departure_hour_sin", 0.25, 6, 7, 0.0, None, 0),
+        (1, 6, None, None, None, None, 0.75, None, 0),
+        (1, 7, None, None, None, None, 2.5, None, 0),
+    ],
+    "log": [
+        (-1, 1, None, None, None, None, -1.0, None, 0),
+        (0, 1, "route_congestion_index", 0.24, 2, 3, 0.0, None, 0),
+        (0, 2, "day_of_week", 5.5, 4, 5, 0.0, None, 0),
+        (0, 3, None, None, None, None, 0.9, None, 0),
+        (0, 4, None, None, None, None, -0.8, None, 0),
+        (0, 5, None, None, None, None, 0.2, None, 0),
+        (1, 1, "is_peak_hour", 0.5, 2, 3, 0.0, None, 0),
+        (1, 2, None, None, None, None, -0.3, None, 0),
+        (1, 3, None, None, None, None, 0.6, None, 0),
+    ],
+}
+
+
+def _fixed(ws, loss: str) -> models.Ensemble:
+    """The fixed trees as they come back from their table."""
+    return models.Ensemble.of_table(staged(models.Ensemble(loss, FIXED_TREES[loss]).table(ws.spark), "fixed_trees"))
+
+
+@query("score_tree_minutes")
+def _(ws):
+    """Clipped minutes of a fixed node table for every test flight."""
+    rows = models.predict(_fixed(ws, "squared"), ws.test_features, "minutes")
+    return rows.select(*_REPORT_KEY, rounded(F.col("minutes"), 6).alias("minutes"))
+
+
+@query("score_tree_blend")
+def _(ws):
+    """Delay probability, statistics 0.7 and a fixed node table 0.3, for every clean flight."""
+    scored = score.score(ws.clean, ws.stats, _fixed(ws, "log"))
+    return scored.select(*_REPORT_KEY, rounded(F.col("delay_probability"), 4).alias("delay_probability"))
+
+
+@query("ml_run_roundtrip")
+def _(ws):
+    """A run of statistic tiers and fixed trees saved twice; what the loader finds in the newest version."""
+    path = stage_path(ws.spark, "runs")
+    fixed = {"classifier": _fixed(ws, "log"), "regressor": _fixed(ws, "squared")}
+    tables = {
+        "metrics": _tiers(ws),
+        "residuals": evaluate.residual_analysis(ws.test_scored, features.TARGET_MINUTES, "heuristic"),
+        "importance": models.fallback_importance(ws.spark),
+    }
+    models.save_run(models.TrainingRun(ws.stats, None, None), path)
+    models.save_run(models.TrainingRun(ws.stats, **fixed, **tables), path)
+    found = models.load_run(ws.spark, path)
+    none = F.lit(None).cast("double")
+    parts = [
+        found.metrics.select(F.lit("metrics").alias("part"), F.concat_ws("/", "model", "metric").alias("name"), "value"),
+        found.residuals.select(F.lit("residuals"), "metric", "value"),
+        found.importance.select(F.lit("importance"), "feature", "importance"),
+        found.stats.routes.select(F.lit("routes"), "route_code", rounded(F.col("route_congestion_index"), 6)),
+        *[m.table(ws.spark).filter("feature IS NULL").select(F.lit(m.loss), F.concat_ws("/", "tree", "node"), "value") for m in (found.classifier, found.regressor)],
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part.toDF("part", "name", "value"))
+    return out.withColumn("version", F.lit(found.version)).withColumn("value", F.coalesce("value", none))
 
 
 # ---------------------------------------------------------------- scoring
@@ -875,11 +1026,11 @@ def _(ws):
 
 @query("score_with_model")
 def _(ws):
-    """Scores with the classifier blended in, loaded back from its saved form."""
-    path = stage_path(ws.spark, "classifier")
-    models.save_model(ws.classifier, path)
-    loaded = models.load_model(ws.spark, path)
-    return score.score_report(score.score(ws.clean, ws.stats, loaded), _REPORT_KEY)
+    """The whole report of the saved run: classifier blended in, its drivers beside each flight."""
+    run = ws.run
+    report = score.with_drivers(score.score_report(score.score(ws.clean, run.stats, run.classifier), _REPORT_KEY), run.importance)
+    drivers = F.concat_ws(";", F.transform("top_delay_drivers", lambda d: F.concat(d["feature"], F.lit("="), d["importance"])))
+    return report.withColumn("top_delay_drivers", drivers)
 
 
 @query("score_risk_mix")

@@ -1,189 +1,153 @@
-"""Gradient-boosted delay models and permutation importance."""
+"""Boosted delay models, permutation importance and the saved artefacts of a training run."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.contracts import CLEAN_KEY, FEATURE_COLUMNS
 from flightlake.functions.metrics import rounded
-from flightlake.ml.features import TARGET_FLAG, TARGET_MINUTES
+from flightlake.ml import boosting
+from flightlake.ml.boosting import BoostSettings, Ensemble, rounded_features
+from flightlake.ml.features import TARGET_FLAG, TARGET_MINUTES, FittedStats, load_stats, save_stats
 from flightlake.operators.ranks import running_totals
-from flightlake.session import stage_root, staged
-from flightlake.sources.files import path_exists
+from flightlake.session import staged
+from flightlake.sources.files import complete_version, newest_version, next_version
 
+#: a scorer makes the predicted minutes from the feature columns given by name
+Scorer = Callable[[dict[str, Column]], Column]
 
-@dataclass(frozen=True)
-class BoostSettings:
-    """Iterations, depth, rate, leaf size and seed of both models."""
-
-    iterations: int = 100
-    depth: int = 6
-    rate: float = 0.08
-    min_leaf: int = 30
-    seed: int = 42
-
-
-def _fit(train: DataFrame, learner, label: str) -> PipelineModel:
-    # the learner cuts the lineage of its residuals every few iterations, on the shared folder
-    context = train.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(stage_root(train.sparkSession))
-    stages = [
-        VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        learner,
-    ]
-    # fitting passes over the rows many times: keep only what it needs, on files
-    narrow = train.select(*FEATURE_COLUMNS, F.col(label).cast("double").alias(label))
-    return Pipeline(stages=stages).fit(staged(narrow, f"train_{label}"))
-
-
-def _shared(settings: BoostSettings) -> dict:
-    return {
-        "featuresCol": "features",
-        "maxIter": settings.iterations,
-        "maxDepth": settings.depth,
-        "stepSize": settings.rate,
-        "minInstancesPerNode": settings.min_leaf,
-        "maxBins": 255,
-        "checkpointInterval": 10,
-        "seed": settings.seed,
-    }
-
-
-def fit_regressor(train: DataFrame, settings: BoostSettings = BoostSettings()) -> PipelineModel:
-    learner = GBTRegressor(labelCol=TARGET_MINUTES, predictionCol="minutes", **_shared(settings))
-    return _fit(train, learner, TARGET_MINUTES)
-
-
-def fit_classifier(train: DataFrame, settings: BoostSettings = BoostSettings()) -> PipelineModel:
-    learner = GBTClassifier(
-        labelCol=TARGET_FLAG,
-        predictionCol="late",
-        **_shared(settings),
-    )
-    learner.setProbabilityCol("probability").setRawPredictionCol("margin")
-    return _fit(train, learner, TARGET_FLAG)
 
+def fit_regressor(train: DataFrame, settings: BoostSettings = BoostSettings()) -> Ensemble:
+    return boosting.fit(train, FEATURE_COLUMNS, TARGET_MINUTES, "squared", settings)
 
-_SCRATCH = ["raw_features", "features"]
 
+def fit_classifier(train: DataFrame, settings: BoostSettings = BoostSettings()) -> Ensemble:
+    return boosting.fit(train, FEATURE_COLUMNS, TARGET_FLAG, "log", settings)
 
-def predict_minutes(model: PipelineModel, rows: DataFrame, name: str = "model") -> DataFrame:
-    """Predicted delay minutes, never below zero."""
-    scored = model.transform(rows)
-    return scored.withColumn(name, F.greatest("minutes", F.lit(0.0))).drop("minutes", *_SCRATCH)
 
-
-def predict_probability(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
-    scored = model.transform(rows)
-    return scored.withColumn(name, vector_to_array("probability")[1]).drop(
-        "probability", "margin", "late", *_SCRATCH
+def predict(model: Ensemble, rows: DataFrame, name: str = "model") -> DataFrame:
+    """`rows` with the model's minutes (never below zero) or probability as a column expression."""
+    return rows.withColumns({f"_seen_{c}": rounded(F.col(c).cast("double"), boosting.DIGITS) for c in FEATURE_COLUMNS}).select(
+        *rows.columns, model.output({c: F.col(f"_seen_{c}") for c in FEATURE_COLUMNS}).alias(name)
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
+# ---------------------------------------------------------------- importance
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
-    """The saved model, or None so that scoring falls back to statistics alone."""
-    return PipelineModel.load(path) if path_exists(spark, path) else None
 
-
-def _ranked_rows(test: DataFrame, sample_size: int | None, seed: int) -> DataFrame:
-    """Features and target of the test rows with a dense `_id` from 0, in the order of a hash of the key."""
-    keyed = test.select(
-        *FEATURE_COLUMNS,
-        TARGET_MINUTES,
-        F.struct(F.xxhash64(F.lit(seed), *CLEAN_KEY).alias("pick"), *CLEAN_KEY).alias("_order"),
-        F.lit(1).alias("_row"),
-    )
-    if sample_size is not None:
-        keyed = keyed.orderBy("_order").limit(sample_size)
-    ranked = running_totals(keyed, "_order", ["_row"], "importance_order")
-    # written, so that rows of one key have the same number wherever they are read
-    return staged(
-        ranked.select(*FEATURE_COLUMNS, TARGET_MINUTES, F.col("_row_before").alias("_id")), "importance_sample"
-    )
+def _ranked(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """`rows` with `_rank`, their dense position from 0 in `order`, by range-partitioned running totals."""
+    keyed = rows.withColumns({"_order": F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]), "_row": F.lit(1)})
+    return running_totals(keyed, "_order", ["_row"], name).withColumnRenamed("_row_before", "_rank")
 
 
-def _shuffled(sample: DataFrame, repeats: int, seed: int) -> DataFrame:
-    """The rows once per repeat, each with the `_slot` whose row it is the donor of."""
-    copies = sample.withColumn("_repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)]))).withColumns(
-        {
-            "_order": F.struct("_repeat", F.xxhash64(F.lit(seed), "_repeat", "_id").alias("mixed"), "_id"),
-            "_row": F.lit(1),
-        }
-    )
-    ranked = running_totals(copies, "_order", ["_row"], "importance_donors")
-    return ranked.withColumn("_slot", F.col("_row_before") - F.col("_repeat") * F.lit(sample.count()))
+def _pick(name: str, *parts: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(name), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
 
 
-def permutation_importance(
-    model: PipelineModel,
-    test: DataFrame,
-    sample_size: int | None = None,
-    repeats: int = 3,
-    seed: int = 42,
-) -> DataFrame:
-    """(feature, importance), normalised, from one scoring job over all test rows.
+def permutation_importance(scorer: Scorer, test: DataFrame, repeats: int = 3, seed: int = 42) -> DataFrame:
+    """(feature, importance), normalised, for any scorer of the features, over all test rows.
 
-    Each repeat pairs every row with a shuffled donor row; each feature then takes
-    the donor's value in turn.  `sample_size` keeps that many rows by a hash of the key.
+    Rows are ranked by a digest of their key and, for each repeat, by another digest; a row's donor
+    has the rank in that order that the row has in the first one.  Each feature takes the donor's
+    value in turn, in one scoring job; importance is the mean loss of R2, never below zero.
     """
-    sample = _ranked_rows(test, sample_size, seed)
-    shuffled = _shuffled(sample, repeats, seed)
-    donors = shuffled.select(
-        "_repeat",
-        F.col("_slot").alias("_id"),
-        *[F.col(c).cast("double").alias(f"donor_{c}") for c in FEATURE_COLUMNS],
-    )
-    trials = donors.join(sample, "_id").withColumn(
-        "feature", F.explode(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]))
-    )
-    swapped = trials.select(
-        "feature",
-        "_repeat",
-        TARGET_MINUTES,
-        *[
-            F.when(F.col("feature") == c, F.col(f"donor_{c}"))
-            .otherwise(F.col(c).cast("double"))
-            .alias(c)
-            for c in FEATURE_COLUMNS
-        ],
+    keyed = rounded_features(test, FEATURE_COLUMNS).select(
+        *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS],
+        F.col(TARGET_MINUTES).alias("_y"),
+        _pick(str(seed), *[F.col(c) for c in CLEAN_KEY]).alias("_key"),
     )
-    plain = sample.select(
-        F.lit("").alias("feature"), F.lit(0).alias("_repeat"), *FEATURE_COLUMNS, TARGET_MINUTES
-    )
-    error = F.col("minutes") - F.col(TARGET_MINUTES)
-    spread = F.var_pop(TARGET_MINUTES) * F.count(F.lit(1))
-    fits = (
-        model.transform(swapped.unionByName(plain))
-        .groupBy("feature", "_repeat")
-        .agg((1.0 - F.sum(error * error) / F.nullif(spread, F.lit(0.0))).alias("r2"))
+    # written, so that rows of one key have the same number wherever they are read
+    rows = staged(_ranked(keyed, [F.col("_key")], "importance_order").select(*FEATURE_COLUMNS, "_y", "_key", "_rank"), "importance_rows")
+    many = rows.count()
+    copies = rows.select(*FEATURE_COLUMNS, "_key", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_repeat"))
+    mixed = _ranked(copies, [F.col("_repeat"), _pick("donor", F.col("_repeat"), F.col("_key"))], "importance_donors")
+    donors = mixed.select(
+        "_repeat", (F.col("_rank") - F.col("_repeat") * F.lit(many)).alias("_rank"), *[F.col(c).alias(f"_donor_{c}") for c in FEATURE_COLUMNS]
     )
+    features = F.explode(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]))
+    trials = donors.join(rows, "_rank").withColumn("feature", features).select(
+        "feature", "_repeat", "_y",
+        *[F.when(F.col("feature") == c, F.col(f"_donor_{c}")).otherwise(F.col(c)).alias(c) for c in FEATURE_COLUMNS],
+    )
+    plain = rows.select(F.lit("").alias("feature"), F.lit(0).alias("_repeat"), "_y", *FEATURE_COLUMNS)
+    scored = trials.unionByName(plain).select("feature", "_repeat", "_y", scorer({c: F.col(c) for c in FEATURE_COLUMNS}).alias("_p"))
+    error = F.col("_p") - F.col("_y")
+    spread = F.var_pop("_y") * F.count(F.lit(1))
+    fits = scored.groupBy("feature", "_repeat").agg((1.0 - F.sum(error * error) / F.nullif(spread, F.lit(0.0))).alias("r2"))
     means = staged(fits.groupBy("feature").agg(F.avg("r2").alias("r2")), "importance_r2")
     base = means.filter("feature = ''").select("r2").scalar()
-    drops = means.filter("feature <> ''").select(
-        "feature", F.greatest(base - F.col("r2"), F.lit(0.0)).alias("drop")
-    )
+    drops = means.filter("feature <> ''").select("feature", F.greatest(base - F.col("r2"), F.lit(0.0)).alias("drop"))
     whole = drops.agg(F.sum("drop")).scalar()
     return drops.select(
-        "feature",
-        rounded(F.coalesce(F.col("drop") / F.nullif(whole, F.lit(0.0)), F.lit(0.0)), 5).alias(
-            "importance"
-        ),
+        "feature", rounded(F.coalesce(F.col("drop") / F.nullif(whole, F.lit(0.0)), F.lit(0.0)), 5).alias("importance")
     )
 
 
-def top_drivers(importance: DataFrame, n: int = 4) -> DataFrame:
-    return importance.orderBy(F.desc("importance"), "feature").limit(n)
+def fallback_importance(spark: SparkSession) -> DataFrame:
+    """What stands for the importance where none was measured: 0.1 for each feature."""
+    return spark.createDataFrame([(c, 0.1) for c in FEATURE_COLUMNS], "feature string, importance double")
+
+
+def top_drivers(importance: DataFrame | None, spark: SparkSession, n: int = 4) -> DataFrame:
+    """The n most important features; without any importance the first n features, 0.1 each."""
+    place = F.array_position(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]), F.col("feature"))
+    if importance is None or importance.isEmpty():
+        return fallback_importance(spark).orderBy(place).limit(n)
+    return importance.orderBy(F.desc("importance"), place).limit(n)
+
+
+# ---------------------------------------------------------------- artefacts
+
+
+@dataclass(frozen=True)
+class TrainingRun:
+    """Everything one training run leaves; scoring needs the first two."""
+
+    stats: FittedStats
+    classifier: Ensemble | None
+    regressor: Ensemble | None
+    metrics: DataFrame | None = None
+    importance: DataFrame | None = None
+    residuals: DataFrame | None = None
+    version: int | None = None
+
+
+_TABLES = ("metrics", "importance", "residuals")
+
+
+def save_run(run: TrainingRun, path: str) -> int:
+    """Write a run under the next version of `path` and return that version.
+
+    The version counts once all its tables are written: its entry in `_versions` comes last.
+    Tables that a run lacks are left out.
+    """
+    spark = run.stats.totals.sparkSession
+    version = next_version(spark, path)
+    folder = f"{path}/version={version}"
+    save_stats(run.stats, f"{folder}/stats", mode="errorifexists")
+    for name in ("classifier", "regressor"):
+        if (model := getattr(run, name)) is not None:
+            model.table(spark).write.parquet(f"{folder}/{name}")
+    for name in _TABLES:
+        if (table := getattr(run, name)) is not None:
+            table.write.parquet(f"{folder}/{name}")
+    present = [n for n in ("stats", "classifier", "regressor", *_TABLES) if getattr(run, n) is not None]
+    complete_version(spark, path, version, present)
+    return version
+
+
+def load_run(spark: SparkSession, path: str) -> TrainingRun | None:
+    """The newest complete run, or None; scoring then falls back to what it has."""
+    newest = newest_version(spark, path)
+    if newest is None:
+        return None
+    version, present = newest
+    folder = f"{path}/version={version}"
+    tables = {n: spark.read.parquet(f"{folder}/{n}") for n in present if n != "stats"}
+    models = {n: Ensemble.of_table(tables.pop(n)) if n in tables else None for n in ("classifier", "regressor")}
+    return TrainingRun(load_stats(spark, f"{folder}/stats"), **models, **tables, version=version)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +24,9 @@ from flightlake.contracts import (
     WEEKEND_MULTIPLIER,
 )
 from flightlake.functions.metrics import rounded
+from flightlake.ml.boosting import Ensemble
 from flightlake.ml.features import FittedStats, add_features
-from flightlake.ml.models import predict_probability
+from flightlake.ml.models import predict, top_drivers
 
 
 def _table(values: list[float], first: int, index: Column) -> Column:
@@ -91,7 +91,7 @@ def _with_baselines(rows: DataFrame, stats: FittedStats) -> DataFrame:
 
 
 def score(
-    rows: DataFrame, stats: FittedStats, classifier: PipelineModel | None = None
+    rows: DataFrame, stats: FittedStats, classifier: Ensemble | None = None
 ) -> DataFrame:
     """Add unrounded `delay_probability` and `estimated_delay_minutes` to each flight.
 
@@ -99,7 +99,7 @@ def score(
     """
     if classifier is not None:
         featured = add_features(rows, stats)
-        scored = predict_probability(classifier, featured, "_model_probability")
+        scored = predict(classifier, featured, "_model_probability")
         rows = scored.select(*rows.columns, "_model_probability")
     based = multipliers(_with_baselines(rows, stats))
     timing = (
@@ -148,6 +148,18 @@ def score_report(scored: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
+def with_drivers(report: DataFrame, importance: DataFrame | None, n: int = 4) -> DataFrame:
+    """The report with `top_delay_drivers`, the most important features of the model behind it.
+
+    Without an importance table (or with an empty one) the fixed fallback list stands in.
+    """
+    found = [
+        F.struct(F.lit(row["feature"]).alias("feature"), F.lit(round(row["importance"], 4)).alias("importance"))
+        for row in top_drivers(importance, report.sparkSession, n).collect()  # n rows
+    ]
+    return report.withColumn("top_delay_drivers", F.array(*found))
+
+
 # Sentence per risk tier; {p} percent and {m} minutes without decimals.
 SENTENCES = {
     "low": (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,51 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def create_exclusively(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, False when it exists; where the store can, exactly one caller wins."""
+    target, fs = _hadoop_path(spark, path)
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers N of the entries `version=N` of a folder, rising."""
+    target, fs = _hadoop_path(spark, folder)
+    if not fs.exists(target):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return sorted(int(name.split("=")[1]) for name in names if name.startswith("version="))
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    """A version of `path` that no other writer has; claims are files in `_claims`."""
+    version = max(_versions(spark, f"{path}/_claims"), default=0)
+    while True:
+        version += 1
+        if create_exclusively(spark, f"{path}/_claims/version={version}"):
+            return version
+
+
+def complete_version(spark: SparkSession, path: str, version: int, parts: list[str]) -> None:
+    """The last write of a version: the names of the tables it consists of."""
+    rows = spark.createDataFrame([(part,) for part in parts], "part string")
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{path}/_versions/version={version}")
+
+
+def newest_version(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
+    """The highest complete version and its tables; versions without an entry do not count."""
+    for version in reversed(_versions(spark, f"{path}/_versions")):
+        entry = f"{path}/_versions/version={version}"
+        if path_exists(spark, f"{entry}/_SUCCESS"):
+            return version, sorted(row["part"] for row in spark.read.parquet(entry).collect())
+    return None
+
+
 def find_raw_files(spark: SparkSession, folder: str) -> str:
     """A preferred raw file when present, else the folder's CSV glob, else an error.
 

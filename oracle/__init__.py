@@ -7,6 +7,6 @@ again here, in plain SQL and mostly join-first.
 
 from __future__ import annotations
 
-from oracle import cleaning, models, quality, reports
+from oracle import cleaning, models, quality, reports, trees
 
-SQL: dict[str, str] = {**cleaning.SQL, **quality.SQL, **reports.SQL, **models.SQL}
+SQL: dict[str, str] = {**cleaning.SQL, **quality.SQL, **reports.SQL, **models.SQL, **trees.SQL}

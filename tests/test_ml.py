@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from flightlake.catalog import Workspace
 from flightlake.contracts import FEATURE_COLUMNS
-from flightlake.ml import baselines, evaluate, features, models, score
+from flightlake.ml import baselines, boosting, evaluate, features, models, score
 from flightlake.operators.ranks import exact_quantiles, running_totals
+from flightlake.sources import files
 
 SCHEMA = """flight_date date, reporting_airline_id int, reporting_airline_code string,
 flight_number bigint, origin_airport_id int, destination_airport_id int,
@@ -163,21 +164,19 @@ def test_metrics_against_numpy(spark):
 def test_boosted_models_and_importance(spark, parts, tmp_path):
     train, test, stats = parts
     quick = models.BoostSettings(iterations=3, depth=3, min_leaf=5)
-    with_features = features.add_features(train, stats)
+    with_features, test_features = features.add_features(train, stats), features.add_features(test, stats)
     regressor = models.fit_regressor(with_features, quick)
-    predicted = models.predict_minutes(regressor, features.add_features(test, stats))
+    predicted = models.predict(regressor, test_features)
+    assert predicted.columns == [*test_features.columns, "model"]
     assert predicted.agg(F.min("model")).first()[0] >= 0
-    importance = models.permutation_importance(regressor, features.add_features(test, stats), 50, 2)
+    importance = models.permutation_importance(regressor.output, test_features, 2)
     values = {r["feature"]: r["importance"] for r in importance.collect()}
     assert set(values) == set(FEATURE_COLUMNS)
     assert sum(values.values()) == pytest.approx(1.0, abs=1e-3)
-    assert models.top_drivers(importance).count() == 4
+    assert models.top_drivers(importance, spark).count() == 4
     classifier = models.fit_classifier(with_features, quick)
-    models.save_model(classifier, str(tmp_path / "model"))
-    loaded = models.load_model(spark, str(tmp_path / "model"))
-    assert models.load_model(spark, str(tmp_path / "none")) is None
     plain = {r["flight_number"]: r["delay_probability"] for r in score.score(test, stats).collect()}
-    mixed = score.score(test, stats, loaded).select(
+    mixed = score.score(test, stats, classifier).select(
         "flight_number", "delay_probability", "_model_probability"
     )
     for row in mixed.collect():
@@ -186,25 +185,119 @@ def test_boosted_models_and_importance(spark, parts, tmp_path):
             assert row["delay_probability"] == pytest.approx(min(max(expected, 0.04), 0.90))
 
 
-def test_importance_takes_every_test_row(spark, parts):
+def grown(x, y, settings):
+    """Boosted trees for minutes by plain recursion: predictions of the training rows and leaf sizes."""
+    margin, trees = np.full(len(y), y.mean()), []
+    for _ in range(settings.iterations):
+        g = margin - y
+
+        def split(rows):
+            best = (0.0, None, None)
+            for f in range(x.shape[1]):
+                values = np.unique(x[:, f])
+                for low, high in zip(values, values[1:]):
+                    left = x[rows, f] <= (low + high) / 2
+                    if min(left.sum(), (~left).sum()) < settings.min_leaf:
+                        continue
+                    a, b = g[rows][left], g[rows][~left]
+                    gain = a.sum() ** 2 / len(a) + b.sum() ** 2 / len(b) - g[rows].sum() ** 2 / len(rows)
+                    if gain > best[0] + 1e-6:
+                        best = (gain, f, (low + high) / 2)
+            return best
+
+        leaves = [(np.arange(len(y)), 0)]
+        while len(leaves) < settings.leaves:
+            found = [split(rows) if depth < settings.depth else (0.0, None, None) for rows, depth in leaves]
+            at = max(range(len(leaves)), key=lambda i: found[i][0])
+            if found[at][1] is None:
+                break
+            (rows, depth), (_, f, cut) = leaves.pop(at), found[at]
+            left = x[rows, f] <= cut
+            leaves += [(rows[left], depth + 1), (rows[~left], depth + 1)]
+        for rows, _ in leaves:
+            margin[rows] -= settings.rate * g[rows].mean()
+        trees.append(sorted(len(rows) for rows, _ in leaves))
+    return margin, trees
+
+
+@pytest.mark.parametrize("leaves,depth", [(6, 4), (31, 2)])
+def test_boosting_matches_plain_recursion(spark, leaves, depth):
+    rng = np.random.default_rng(8)
+    x = np.stack([rng.integers(0, 9, 500), rng.integers(0, 2, 500), np.round(rng.normal(0, 3, 500), 1)], 1).astype(float)
+    y = np.round(3 * x[:, 0] + 9 * x[:, 1] * (x[:, 2] > 0) + rng.normal(0, 4, 500))
+    settings = boosting.BoostSettings(iterations=4, depth=depth, leaves=leaves, min_leaf=20)
+    rows = [(*map(float, a), float(b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    one = boosting.fit(df, ["a", "b", "c"], "y", "squared", settings)
+    margin, trees = grown(x, y, settings)
+    sizes = [sorted(r[8] for r in one.rows if r[0] == t and r[2] is None) for t in range(4)]
+    assert sizes == trees
+    got = [r["m"] for r in df.repartition(1).select("*", one.margin().alias("m")).orderBy("a", "b", "c", "y").collect()]
+    order = sorted(range(500), key=lambda i: rows[i])
+    assert got == pytest.approx(margin[order], abs=1e-3)
+    again = boosting.fit(df.repartition(5), ["a", "b", "c"], "y", "squared", settings)
+    assert again.rows == one.rows  # whatever way the rows are dealt
+
+
+def test_boosting_of_few_or_no_rows(spark):
+    schema = "a double, y double"
+    none = boosting.fit(spark.createDataFrame([], schema), ["a"], "y", "squared", boosting.BoostSettings(iterations=2))
+    assert [r[0] for r in none.rows] == [-1]
+    few = boosting.fit(spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (3.0, None)], schema), ["a"], "y", "log", boosting.BoostSettings(iterations=2))
+    p = spark.createDataFrame([(None,), (float("nan"),), (5.0,)], "a double").select(few.output().alias("p")).collect()
+    assert all(r["p"] > 0.999 for r in p)
+
+
+def test_many_values_share_bins_of_equal_rows(spark):
+    edges = boosting.bin_edges(spark.range(5000).select(F.col("id").cast("double").alias("a")), ["a"], 255)[0]
+    assert len(edges) == 254 and edges == sorted(edges)
+    assert {round(b - a) for a, b in zip(edges, edges[1:])} == {19, 20}
+
+
+def test_importance_pairs_every_test_row(spark, parts):
     _, test, stats = parts
     rows = features.add_features(test, stats)
-    size = inspect.signature(models.permutation_importance).parameters["sample_size"].default
-    assert size is None
-    sample = models._ranked_rows(rows, size, 42)
-    n = rows.count()
-    assert sorted(r["_id"] for r in sample.select("_id").collect()) == list(range(n))
-    slots = {}
-    for r in models._shuffled(sample, 3, 42).select("_repeat", "_id", "_slot").collect():
-        slots.setdefault(r["_repeat"], {})[r["_slot"]] = r["_id"]
-    assert len(slots) == 3 and slots[0] != slots[1] != slots[2]
-    for donors in slots.values():
-        assert sorted(donors) == sorted(donors.values()) == list(range(n))
+    seen = []
+
+    def scorer(f):
+        seen.append(set(f))
+        return f["scheduled_departure_hour"] * 1.0
+
+    values = {r["feature"]: r["importance"] for r in models.permutation_importance(scorer, rows).collect()}
+    assert seen == [set(FEATURE_COLUMNS)]
+    assert values.pop("scheduled_departure_hour") == 1.0 and not any(values.values())
+    assert "sample" not in inspect.signature(models.permutation_importance).parameters
+
+
+def test_fallback_drivers(spark, parts):
+    _, test, stats = parts
+    report = score.score_report(score.score(test, stats), ["flight_number"])
+    for importance in (None, models.fallback_importance(spark).limit(0)):
+        row = score.with_drivers(report, importance).first()
+        assert [(d["feature"], d["importance"]) for d in row["top_delay_drivers"]] == [(c, 0.1) for c in FEATURE_COLUMNS[:4]]
+
+
+def test_newest_complete_run_is_loaded(spark, parts, tmp_path):
+    path = str(tmp_path / "runs")
+    assert models.load_run(spark, path) is None
+    _, _, stats = parts
+    tree = models.Ensemble("log", [(-1, 1, None, None, None, None, 0.25, None, 0)])
+    assert models.save_run(models.TrainingRun(stats, tree, None), path) == 1
+    half = files.next_version(spark, path)  # a writer that dies before its last write
+    features.save_stats(stats, f"{path}/version={half}/stats")
+    found = models.load_run(spark, path)
+    assert (half, found.version, found.regressor, found.metrics) == (2, 1, None, None)
+    assert found.classifier.rows == tree.rows
+    metrics = spark.createDataFrame([("m", "mae", 1.5)], "model string, metric string, value double")
+    assert models.save_run(models.TrainingRun(stats, None, tree, metrics=metrics), path) == 3
+    newest = models.load_run(spark, path)
+    assert (newest.version, newest.classifier, newest.metrics.first()["value"]) == (3, None, 1.5)
 
 
 def test_queries_use_the_published_settings():
-    used = Workspace.settings
-    assert (used.iterations, used.depth, used.rate, used.min_leaf, used.seed) == (100, 6, 0.08, 30, 42)
+    used = models.BoostSettings()
+    assert (used.iterations, used.depth, used.leaves, used.rate, used.min_leaf) == (100, 6, 31, 0.08, 30)
+    assert Workspace.settings == used
 
 
 def test_scores_are_bounded_and_tiered(parts):

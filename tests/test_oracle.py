@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
-from flightlake.catalog import QUERIES
+from flightlake.catalog import QUERIES, Workspace
+from flightlake.ml.boosting import BoostSettings
 from oracle import SQL as ORACLE
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def con():
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert ROWS_ONLY == [
-        "ml_gbt_cls", "ml_gbt_reg", "ml_gbt_residuals", "ml_perm_importance", "ml_top_drivers",
+        "ml_gbt_cls", "ml_gbt_reg", "ml_gbt_residuals", "ml_gbt_tiers", "ml_perm_importance", "ml_top_drivers",
         "score_with_model",
     ]
 
@@ -32,7 +33,8 @@ def test_matches_sql(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
-def test_returns_rows(spark, name):
+def test_returns_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(Workspace, "settings", BoostSettings(iterations=3))
     assert QUERIES[name](spark, SF).count() > 0
 
 
