@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions alone.
 
 A text's terms are its words, weighted by how often they stand in it.  Sample k draws for
-every term, from hashes of the term and k, two gamma variables and a uniform one (r, c, b)
+every term, from a hash of the term and k, two gamma variables and a uniform one (r, c, b)
 and takes the term with the smallest a:
 
     t = floor(ln(weight) / r + b),  ln a = ln c - r (t - b) - r
@@ -10,6 +10,11 @@ Two texts agree in sample k, in term and t, with a chance equal to their general
 Jaccard similarity (sum of the smaller weights over sum of the larger ones).  A fingerprint
 is SAMPLES such samples, each as 32 bits in hex; likeness is the share of equal samples.
 
+A text and its edited form are sampled together: their terms are grouped once, with a weight
+in each, and (r, c, b) are drawn once for both.  Gamma variables come from tables of the
+inverse distribution, a straight line between 256 points and 256 more in its tail, since a
+logarithm costs more than all the rest of a draw.
+
 Texts move once.  They are dealt by ranges of the id, so that a document's neighbour is the
 row before it in its range, and counting words, drawing samples and looking at neighbours
 all happen where the texts lie; the last document of a range is also sent to the next one.
@@ -17,7 +22,7 @@ all happen where the texts lie; the last document of a range is also sent to the
 
 from __future__ import annotations
 
-from functools import reduce
+from math import exp, log, log1p
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,21 +32,57 @@ SAMPLES = 128
 _SIDE = 4
 _LEAST = -(1 << 63)
 _SPACE = r"[\x20\x09-\x0D]+"
-_UNIT = 1.0 / (1 << 21)
 
 
-def _unit(bits: Column, shift: int) -> Column:
-    """A number in (0, 1] from 21 bits of a hash."""
-    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << 21) - 1))
-    return (part + 1).cast("double") * F.lit(_UNIT)
+def _upper(v: float) -> float:
+    """The x that a gamma variable of shape 2 exceeds with chance v = (1 + x) exp(-x)."""
+    low, high = 0.0, 60.0
+    for _ in range(80):
+        x = (low + high) / 2
+        low, high = (x, high) if log1p(x) - x > log(v) else (low, x)
+    return (low + high) / 2
+
+
+def _lower(v: float) -> float:
+    """ln of the x that a gamma variable of shape 2 stays below with chance v."""
+    low, high = 1e-9, 60.0
+    for _ in range(80):
+        x = (low * high) ** 0.5
+        low, high = (x, high) if 1 - (1 + x) * exp(-x) < v else (low, x)
+    return log(low * high) / 2
+
+
+def _drawn(inverse, bits: Column, shift: int, last: float) -> Column:
+    """`inverse` of a uniform number made of 21 bits of a hash; its singular end is at 0, `last` is at 1.
+
+    The first 8 bits choose the point of a table and the rest the place after it; where they are
+    all 0, the next 8 bits choose in a finer table, whose first cell is level.
+    """
+
+    def line(points: list[float], at: Column, rest: Column, scale: int) -> Column:
+        steps = [(b - a) / scale for a, b in zip(points, points[1:])]
+        a, d = (F.array(*[F.lit(x) for x in column]) for column in (points[:-1], steps))
+        return F.get(a, at) + F.get(d, at) * rest
+
+    def part(low: int, count: int) -> Column:
+        return F.shiftrightunsigned(bits, shift + low).bitwiseAND(F.lit((1 << count) - 1))
+
+    coarse = [inverse(max(i, 1) / 256) for i in range(256)] + [last]
+    fine = [inverse(max(i, 1) / 65536) for i in range(257)]
+    tail = line(fine, part(5, 8).cast("int"), part(0, 5), 1 << 5)
+    high = part(13, 8).cast("int")
+    return F.when(high > 0, line(coarse, high, part(0, 13), 1 << 13)).otherwise(tail)
+
 
+def _draws(term: Column, k: Column) -> tuple[Column, Column, Column]:
+    """(r, ln c, b) of a term in sample k."""
+    bits = F.xxhash64(term, k)
+    b = F.shiftrightunsigned(bits, 42).bitwiseAND(F.lit((1 << 21) - 1)) / F.lit(float(1 << 21))
+    return _drawn(_upper, bits, 0, 1e-6), _drawn(_lower, bits, 21, 2.7), b
 
-def _sample(term: Column, log_weight: Column, k: Column) -> Column:
+
+def _sample(term: Column, log_weight: Column, r: Column, log_c: Column, b: Column) -> Column:
     """ln a in the high bits, 32 bits of (term, t) in the low ones: the least is the sample."""
-    one, two = F.xxhash64(term, k), F.xxhash64(k, term)
-    r = -F.ln(_unit(one, 0) * _unit(one, 21))
-    log_c = F.ln(F.lit(1e-12) - F.ln(_unit(one, 42) * _unit(two, 0)))
-    b = _unit(two, 21)
     t = F.floor(log_weight / r + b)
     log_a = log_c - r * (t - b) - r
     high = F.shiftleft(F.floor((log_a + 1000.0) * F.lit(float(1 << 20))), 32)
@@ -49,41 +90,54 @@ def _sample(term: Column, log_weight: Column, k: Column) -> Column:
     return high.bitwiseOR(low)
 
 
-def _samples(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
-    """Adds s0 .. s(n-1), the low bits of every sample, to one row for each value of `keys`.
+def _terms(texts: DataFrame, keys: list[str], forms: list[str]) -> DataFrame:
+    """(keys, term, lw0, lw1, ..): every word of the text columns `forms` with the ln of its weight in each."""
+    each = [F.struct(F.lit(i).alias("form"), F.col(c).alias("text")) for i, c in enumerate(forms)]
+    texts = texts.select(*keys, F.explode(F.array(*each)).alias("t")).filter("t.text IS NOT NULL")
+    words = texts.select(*keys, "t.form", F.explode(F.split("t.text", _SPACE)).alias("word")).filter("word != ''")
+    counted = words.select(*keys, "form", F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(
+        *[F.sum(F.when(F.col("form") == i, 1)).alias(f"w{i}") for i in range(len(forms))]
+    )
+    return counted.select(*keys, "term", *[F.ln(F.col(f"w{i}").cast("double")).alias(f"lw{i}") for i in range(len(forms))])
 
-    `terms` has those keys, term (long) and weight.
-    """
+
+def _samples(terms: DataFrame, keys: list[str], forms: int, samples: int) -> DataFrame:
+    """(keys, f0, f1, ..): the low bits of every sample of each form, as arrays; null without terms."""
     rounds = -(-samples // _SIDE)
-    spread = terms.select(
-        *keys, "term", F.ln(F.col("weight").cast("double")).alias("lw"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("q")
-    )
-    drawn = spread.groupBy(*keys, "q").agg(
-        *[F.min(_sample(F.col("term"), F.col("lw"), F.col("q") * _SIDE + i)).alias(f"m{i}") for i in range(_SIDE)]
-    )
-    return drawn.groupBy(*keys).agg(
+    logs = [f"lw{i}" for i in range(forms)]
+    spread = terms.select(*keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("q"))
+    draws = [
+        c.alias(f"{name}{i}")
+        for i in range(_SIDE)
+        for name, c in zip("rcb", _draws(F.col("term"), F.col("q") * _SIDE + i))
+    ]
+    drawn = spread.select(*keys, "term", *logs, "q", *draws)
+    least = drawn.groupBy(*keys, "q").agg(
         *[
-            F.max(F.when(F.col("q") == k // _SIDE, F.col(f"m{k % _SIDE}").bitwiseAND(F.lit(0xFFFFFFFF)))).alias(f"s{k}")
-            for k in range(samples)
+            F.min(_sample(F.col("term"), F.col(f"lw{f}"), F.col(f"r{i}"), F.col(f"c{i}"), F.col(f"b{i}"))).alias(f"m{f}_{i}")
+            for f in range(forms)
+            for i in range(_SIDE)
         ]
     )
 
+    def ordered(f: int) -> Column:
+        rows = F.array_sort(F.collect_list(F.when(F.col(f"m{f}_0").isNotNull(), F.struct("q", *[f"m{f}_{i}" for i in range(_SIDE)]))))
+        flat = F.flatten(F.transform(rows, lambda row: F.array(*[row[f"m{f}_{i}"] for i in range(_SIDE)])))
+        bits = F.transform(F.slice(flat, 1, samples), lambda m: m.bitwiseAND(F.lit(0xFFFFFFFF)))
+        return F.when(F.size(bits) > 0, bits).alias(f"f{f}")
 
-def _terms(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, term, weight) of the words of `text`."""
-    words = texts.select(*keys, F.explode(F.split("text", _SPACE)).alias("word")).filter("word != ''")
-    return words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count("term").alias("weight"))
+    return least.groupBy(*keys).agg(*[ordered(f) for f in range(forms)])
 
 
-def likeness(a: list[Column], b: list[Column]) -> Column:
+def likeness(a: Column, b: Column, samples: int) -> Column:
     """Share of equal samples; texts without words are alike to each other and to nothing else."""
-    none_a, none_b = a[0].isNull(), b[0].isNull()
-    equal = reduce(lambda x, y: x + y, [F.when(x == y, 1).otherwise(0) for x, y in zip(a, b)])
-    return F.when(none_a & none_b, 1.0).when(none_a | none_b, 0.0).otherwise(equal / F.lit(float(len(a))))
+    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+    return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(equal / F.lit(float(samples)))
 
 
-def _hex(samples: list[Column]) -> Column:
-    return F.when(samples[0].isNull(), "").otherwise(F.concat(*[F.lower(F.lpad(F.hex(s), 8, "0")) for s in samples]))
+def _hex(bits: Column) -> Column:
+    each = F.transform(bits, lambda s: F.lower(F.lpad(F.hex(s), 8, "0")))
+    return F.coalesce(F.array_join(each, ""), F.lit(""))
 
 
 def _ranges(docs: DataFrame, parts: int) -> tuple[list[int], list[int], list[int]]:
@@ -146,24 +200,12 @@ def fingerprint_pairs(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     meta = placed.select(
         "range", "n", "sent", "doc_id", n_chars.alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256")
     )
-    forms = placed.select(
-        "range", "n",
-        F.posexplode(F.when(F.col("sent"), F.array("text")).otherwise(F.array(F.col("text"), edited))).alias("form", "text"),
-    )
-    drawn = _samples(_terms(forms, ["range", "n", "form"]), ["range", "n", "form"], samples)
-    names = [f"s{k}" for k in range(samples)]
-    both = drawn.groupBy("range", "n").agg(
-        *[F.max(F.when(F.col("form") == 0, F.col(s))).alias(s) for s in names],
-        *[F.max(F.when(F.col("form") == 1, F.col(s))).alias(f"e{s}") for s in names],
-    )
-    joined = meta.join(both, ["range", "n"], "left")
+    here = F.when(~F.col("sent"), edited)
+    terms = _terms(placed.select("range", "n", "text", here.alias("edited")), ["range", "n"], ["text", "edited"])
+    joined = meta.join(_samples(terms, ["range", "n"], 2, samples), ["range", "n"], "left")
     before = Window.partitionBy("range").orderBy("n")
-    mine, theirs = [F.col(s) for s in names], [F.col(f"e{s}") for s in names]
-    packed = joined.select(
-        "range", "n", "sent", "doc_id", "n_chars", "edited_sha256", _hex(mine).alias("fingerprint"),
-        _hex(theirs).alias("edited_fingerprint"), likeness(mine, theirs).alias("near_edited"), F.array(*mine).alias("own"),
-    ).withColumn("next", F.lag("own").over(before))
-    near_next = likeness([F.get("own", F.lit(k)) for k in range(samples)], [F.get("next", F.lit(k)) for k in range(samples)])
-    return packed.withColumn("near_next", near_next).filter("NOT sent").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
-    )
+    packed = joined.withColumn("near_next", likeness(F.col("f0"), F.lag("f0").over(before), samples)).filter("NOT sent")
+    return packed.select(
+        "doc_id", "n_chars", "edited_sha256", _hex(F.col("f0")).alias("fingerprint"), _hex(F.col("f1")).alias("edited_fingerprint"),
+        likeness(F.col("f0"), F.col("f1"), samples).alias("near_edited"), "near_next",
+    )
