@@ -9,10 +9,11 @@ hashes; two documents link when their sets' Jaccard similarity reaches the thres
    shingles from all over the text, so a common line or passage brings nobody
    together.  Size classes grow by 1 / threshold, and a set is cut for its own class
    and the one below: every pair that can link is cut alike once.
-2. Each pair that met is held against a bound: the histograms of two sets' hashes differ
-   by no more than the sets do.  Pairs that pass make candidate components.  Where
-   more than GROUP documents meet in one segment they are joined unseen, in a
-   chain, so a large group of near copies never becomes a list of its pairs.
+2. Documents that met in a segment travel as one group, equal groups once, to their
+   histograms.  Every pair of a group is held against a bound: the histograms of two sets'
+   hashes differ by no more than the sets do.  Only a forest of the pairs that pass leaves
+   the task, so rows grow with the documents of a group and not with its pairs.  Where
+   more than GROUP documents meet in one segment they are joined unseen, in a chain.
 3. Only the sets of candidates are shipped, each to its component's blocks.  A
    block stores them in a prefix tree and walks it with all queries at once: the
    overlap counted down to a node serves every set below it, and a subtree is
@@ -45,7 +46,7 @@ BLOCK_SETS = 1024
 BLOCK_TOKENS = 1 << 19
 #: seeds by the largest set size of the class
 SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
-#: documents of one segment that are paired with each other
+#: documents of one segment that are compared with each other
 GROUP = 32
 _FLUSH = 1 << 20
 _SHORT = (1 << 40) - 1
@@ -193,7 +194,7 @@ def _segments(size: int, percent: int, buckets: int):
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, sure): pairs that share a segment in the buckets of this task, and chains of crowded ones."""
+    """(members, a, b): groups that share a segment in the buckets of this task, and chains of crowded ones."""
     keys, nodes, x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
     for batch in batches:
         for bucket, key, node, root in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -205,37 +206,42 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nodes.append(_unpacked(node))
     key, node = np.concatenate(keys), np.concatenate(nodes)
     del keys, nodes
-    if not len(key):
-        return
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    new = np.ones(len(key), bool)  # a set that several tasks have sent
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    key, node = key[new], node[new]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    start = np.flatnonzero(first)
     width = np.diff(np.append(start, len(key)))
     crowded = np.repeat(width > GROUP, width)
     crowded[start] = False
     x.append(node[crowded])
     y.append(node[np.flatnonzero(crowded) - 1])
     x, y = local_roots(np.concatenate(x), np.concatenate(y))
-    a, b, low = [x[x != y]], [y[x != y]], []
-
-    def joined(nodes: np.ndarray) -> np.ndarray:
-        """The chain a node is in, itself where it is in none."""
-        at = np.minimum(np.searchsorted(x, nodes), max(len(x) - 1, 0))
-        return np.where(x[at] == nodes, y[at], nodes) if len(x) else nodes
-
-    for step in range(1, GROUP):
-        some = (width > step) & (width <= GROUP)
-        if not some.any():
-            break
-        count = width[some] - step
-        at = np.repeat(start[some] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        low.append(np.unique((np.stack([node[at], node[at + step]])), axis=1))
-    pairs = np.unique(np.concatenate(low, axis=1), axis=1) if low else np.zeros((2, 0), np.int64)
-    pairs = pairs[:, joined(pairs[0]) != joined(pairs[1])]  # what a chain joins needs no pairs
-    sure = np.repeat([True, False], [len(a[0]), pairs.shape[1]])
+    apart = x != y
+    members: list[bytes | None] = [None] * int(apart.sum())
+    for size in range(2, GROUP + 1):
+        at = start[width == size]
+        if len(at):
+            rows = np.unique(node[at[:, None] + np.arange(size)], axis=0)
+            place = np.minimum(np.searchsorted(x, rows), max(len(x) - 1, 0))
+            chain = np.where(x[place] == rows, y[place], rows) if len(x) else rows
+            rows = rows[(chain != chain[:, :1]).any(axis=1)]  # what a chain joins is no group
+            members += [_packed(row) for row in rows]
+    none = [None] * (len(members) - int(apart.sum()))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([a[0], pairs[0]])), pa.array(np.concatenate([b[0], pairs[1]])), pa.array(sure)],
-        names=["a", "b", "sure"])
+        [pa.array(members, pa.binary()), pa.array(x[apart].tolist() + none, pa.int64()), pa.array(y[apart].tolist() + none, pa.int64())],
+        names=["members", "a", "b"])
+
+
+def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(met, short): one row for each member of a group."""
+    for batch in batches:
+        parts = [_unpacked(m) for m in batch.column("members").to_pylist()]
+        ids = np.repeat(batch.column("met").to_numpy(), [len(p) for p in parts])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([ids[:0], *parts]))], names=["met", "short"])
 
 
 def histogram(values: np.ndarray) -> bytes:
@@ -256,40 +262,60 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 
 def _histograms(size: int, bits):
-    """(short, n, cells) of the nodes that pass the sieve, once a task."""
+    """(short, node, n, cells) of the nodes that pass the sieve, once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            out: list[tuple[int, int, bytes]] = []
+            out: list[tuple[int, int, int, bytes]] = []
             for _, values, bounds, nodes in _sets(batch, size):
                 short = nodes & _SHORT
                 for i in np.flatnonzero(passes(bits.value, short) & (np.diff(bounds) > 0)):
-                    if (node := int(short[i])) not in seen:
+                    if (node := int(nodes[i])) not in seen:
                         seen.add(node)
                         mine = values[bounds[i] : bounds[i + 1]]
-                        out.append((node, len(mine), histogram(mine)))
+                        out.append((int(short[i]), node, len(mine), histogram(mine)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-                 pa.array([x[2] for x in out], pa.binary())], names=["short", "n", "cells"])
+                [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["short", "node", "n", "cells"]
+            )
 
     return run
 
 
 def _possible(percent: int):
-    """The pairs whose sizes and histograms allow a link."""
+    """A forest of the pairs whose sizes and histograms allow a link; rows are sorted by group.
+
+    Two sets may share a short id; a pair passes when any sets behind its ids allow it.
+    """
+
+    def allowed(group: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int]]:
+        for i, (a, n, cells) in enumerate(group):
+            for b, m, others in group[:i]:
+                if a == b or min(n, m) * 100 < max(n, m) * percent:
+                    continue
+                if least_difference(cells, others) * (100 + percent) <= (n + m) * (100 - percent):
+                    yield a, b
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            nodes, roots = local_roots(*np.array(pairs, np.int64).reshape(-1, 2).T)
+            part = nodes != roots
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(roots[part])], names=["a", "b"])
+
+        pairs: list[tuple[int, int]] = []
+        last, group = None, []
         for batch in batches:
-            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
-            most = (n + m) * (100 - percent)
-            keep = np.flatnonzero((np.minimum(n, m) * 100 >= np.maximum(n, m) * percent))
-            cells, others = batch.column("cells"), batch.column("others")
-            keep = [
-                i for i in keep.tolist()
-                if least_difference(cells[i].as_py(), others[i].as_py()) * (100 + percent) <= most[i]
-            ]
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            for met, short, n, cells in zip(*(batch.column(c).to_pylist() for c in ("met", "short", "n", "cells"))):
+                if met != last:
+                    pairs += allowed(group)
+                    last, group = met, []
+                    if len(pairs) > _FLUSH:
+                        yield flush()
+                group.append((short, n, cells))
+        pairs += allowed(group)
+        yield flush()
 
     return run
 
@@ -488,19 +514,14 @@ def _grouped(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     keys = texts.mapInArrow(
         _segments(shingle, percent, 8 * parts), "bucket int, keys binary, nodes binary, roots binary"
     )
-    met = keys.repartition(parts, "bucket").mapInArrow(_meet, "a long, b long, sure boolean")
-    pairs = staged(met.groupBy("a", "b").agg(F.max("sure").alias("sure")), "ngram_pairs")
-    unsure = pairs.filter("NOT sure").select("a", "b")
-    either = unsure.select(F.explode(F.array("a", "b")).alias("short"))
-    cells = staged(
-        texts.mapInArrow(_histograms(shingle, spark.sparkContext.broadcast(sieve(either, "short"))), "short long, n long, cells binary")
-        .dropDuplicates(["short"]),
-        "ngram_cells",
-    )
-    both = unsure.join(cells.withColumnRenamed("short", "a"), "a").join(
-        cells.select(F.col("short").alias("b"), F.col("n").alias("m"), F.col("cells").alias("others")), "b"
-    )
-    near = both.mapInArrow(_possible(percent), "a long, b long").unionByName(pairs.filter("sure").select("a", "b"))
+    met = keys.repartition(parts, "bucket").mapInArrow(_meet, "members binary, a long, b long").distinct()
+    met = staged(met.withColumn("met", F.xxhash64("members")), "ngram_met")
+    entries = met.filter("members IS NOT NULL").select("met", "members").mapInArrow(_entries, "met long, short long")
+    bits = spark.sparkContext.broadcast(sieve(entries.select("short"), "short"))
+    cells = texts.mapInArrow(_histograms(shingle, bits), "short long, node long, n long, cells binary").dropDuplicates(["node"])
+    both = entries.join(cells, "short").select("met", "short", "n", "cells")
+    forest = both.repartition(parts, "met").sortWithinPartitions("met").mapInArrow(_possible(percent), "a long, b long")
+    near = forest.unionByName(met.filter("members IS NULL").select("a", "b"))
     candidate = components(near, "ngram_near").withColumnRenamed("node", "short")
     bits = spark.sparkContext.broadcast(sieve(candidate, "short"))
     size = ids.groupBy("node").agg(F.max("n_shingles").alias("n"))
