@@ -27,7 +27,7 @@ from math import exp, log, log1p
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 128
+SAMPLES = 96
 #: samples drawn side by side in one row; more would outgrow what the JVM compiles
 _SIDE = 4
 _LEAST = -(1 << 63)
