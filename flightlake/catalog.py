@@ -15,13 +15,14 @@ from flightlake.functions.metrics import count_where, rounded
 from flightlake.ml import baselines, evaluate, features, models, score
 from flightlake.operators import clean as cleaning
 from flightlake.operators import compact, standard
-from flightlake.operators.ranks import sorted_file_keys
+from flightlake.operators.ranks import dense_keys
 from flightlake.plans import dashboard, views
 from flightlake.quality import profile, rules
 from flightlake.quality.clean import validate_clean
 from flightlake.quality.raw import validate_raw
 from flightlake.session import stage_path, staged, tune
 from flightlake.sources import driver_tables, files
+from flightlake.streaming import incremental
 from flightlake.streaming.incremental import new_facts
 from flightlake.warehouse import checks, dimensions, fact, load
 
@@ -81,6 +82,13 @@ class Workspace:
         load.load_warehouse(self.spark, self.clean_path, target)
         return load.open_star(self.spark, target)
 
+    @cached_property
+    def busy_month(self) -> tuple[int, int]:
+        """Year and month with the most flights, the first of equals."""
+        months = self.clean.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"))
+        row = months.orderBy(F.desc("n"), "year", "month").first()
+        return row["year"], row["month"]
+
     @cached_property
     def population(self) -> DataFrame:
         return features.population(self.clean)
@@ -332,7 +340,7 @@ def _(ws):
 @query("clean_compact_month")
 def _(ws):
     return (
-        compact.clean_compact(ws.compact, month=1)
+        cleaning.clean_flights(ws.compact, month=1)
         .groupBy("year", "month", "flight_status")
         .agg(
             F.count(F.lit(1)).alias("flights"),
@@ -434,6 +442,15 @@ def _(ws):
     return validate_raw(ws.edge, 1998, 6).select(*_RULE)
 
 
+@query("dq_csv_roundtrip")
+def _(ws):
+    """Rule results written as one CSV file and read back with their types."""
+    report = validate_raw(ws.edge, 1998, 6).select(*_RULE)
+    folder = stage_path(ws.spark, "rules")
+    files.write_report_csv(report, folder)
+    return ws.spark.read.schema(report.schema).option("header", True).csv(folder)
+
+
 @query("dq_overall")
 def _(ws):
     return rules.overall(validate_raw(ws.edge, 1998, 6))
@@ -546,7 +563,7 @@ def _(ws):
 
 @query("fact_keys")
 def _(ws):
-    keyed = sorted_file_keys(ws.spark, ws.clean_path, load.FILE_ORDER, "flight_key")
+    keyed, _ = dense_keys(ws.spark.read.parquet(ws.clean_path), files.ROW_ID, "flight_key")
     return keyed.select("flight_key", *K.CLEAN_KEY)
 
 
@@ -562,11 +579,50 @@ def _(ws):
 
 @query("incr_new_facts")
 def _(ws):
-    """Facts of the whole batch that are missing from a warehouse without its last month."""
+    """The busiest month's facts, as a batch, against a warehouse that has those of its first half."""
     facts = ws.star.fact_flight
-    last = facts.agg(F.max(F.col("date_key"))).scalar()
-    held = facts.filter(F.floor(F.col("date_key") / 100) < F.floor(last / 100))
-    return new_facts(facts, held).select(*K.FACT_NATURAL_KEY)
+    year, month = ws.busy_month
+    batch = facts.filter((F.col("year") == year) & (F.col("month") == month))
+    held = facts.filter((F.col("year") != year) | (F.col("month") != month) | (F.col("date_key") % 100 <= 15))
+    return new_facts(batch, held, (year, month)).select(*K.FACT_NATURAL_KEY)
+
+
+@query("incr_ledger")
+def _(ws):
+    """The busiest month in three deliveries into an empty target: its first half, all of it, the first again.
+
+    Each delivery is joined by content with the ledger and shown with what became of it.
+    """
+    target = stage_path(ws.spark, "increments")
+    year, month = ws.busy_month
+    whole = ws.raw.filter((F.col("YEAR").cast("int") == year) & (F.col("MONTH").cast("int") == month))
+    half = whole.filter(F.col("DAY_OF_MONTH").cast("int") <= 15)
+    deliveries = {"half": half, "corrected": whole, "renamed": half.orderBy(F.desc("OP_CARRIER_FL_NUM"))}
+    told = []
+    for name, rows in deliveries.items():
+        told.append((name, incremental.load_batch(rows, target, year, month), incremental.fingerprint(rows)))
+    found = ws.spark.createDataFrame(told, "delivery string, outcome string, fingerprint string")
+    keys = load.open_star(ws.spark, target).fact_flight.agg(F.count(F.lit(1)).alias("facts"), F.max("flight_key").alias("top_key"))
+    ledger = incremental.read_ledger(ws.spark, target).filter("status = 'complete'")
+    return found.join(ledger, "fingerprint").join(keys).select(
+        "delivery", "outcome", "reporting_year", "reporting_month", "source_row_count", "loaded_row_count", "facts", "top_key"
+    )
+
+
+@query("load_guard")
+def _(ws):
+    """A second full load is refused, a replacing one is not: what each attempt leaves."""
+    target = stage_path(ws.spark, "guarded")
+    told = []
+    for step, replace in (("first", False), ("again", False), ("replace", True)):
+        try:
+            load.load_warehouse(ws.spark, ws.clean_path, target, replace)
+            outcome = "loaded"
+        except RuntimeError:
+            outcome = "refused"
+        current = load.published(ws.spark, target)
+        told.append((step, outcome, current.version, current.rows("fact_flight")))
+    return ws.spark.createDataFrame(told, "step string, outcome string, version int, fact_rows long")
 
 
 # ---------------------------------------------------------------- views
@@ -587,8 +643,15 @@ _FIRST, _LAST = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
 
 @query("dash_filtered")
 def _(ws):
-    chosen = dashboard.filtered(ws.clean, ["C01", "C05"], ["A03", "A07", "A11"], _FIRST, _LAST)
-    return chosen.select(*_KEY, "reporting_airline_code", "route_code", "flight_status")
+    """Two carriers from three origins in four years; and, with empty lists, everything in the first year."""
+    columns = [*_KEY, "reporting_airline_code", "route_code", "flight_status"]
+    carriers = [r[0] for r in dashboard.carrier_options(ws.clean).select("reporting_airline_code").collect()]
+    origins = [r["origin_airport_code"] for r in dashboard.top_origins(ws.clean, 3).collect()]
+    chosen = dashboard.filtered(ws.clean, carriers[:2], origins, _FIRST, _LAST)
+    everything = dashboard.filtered(ws.clean, [], [], _FIRST, dt.date(_FIRST.year, 12, 31))
+    return chosen.select(F.lit("chosen").alias("filter"), *columns).unionByName(
+        everything.select(F.lit("empty lists").alias("filter"), *columns)
+    )
 
 
 @query("dash_options")
@@ -659,7 +722,12 @@ def _(ws):
 
 @query("find_reserve_carriers")
 def _(ws):
-    return dashboard.reserve_carriers(ws.clean, above_pct=22.0)
+    """Carriers above the median late share, found with it as the limit, beside all others."""
+    every = dashboard.reserve_carriers(ws.clean, above_pct=-1.0)
+    limit = every.agg(F.percentile("delay_rate_pct", 0.5)).first()[0]
+    found = dashboard.reserve_carriers(ws.clean, above_pct=limit)
+    others = every.join(found, "reporting_airline_code", "left_anti")
+    return found.withColumn("reserve", F.lit(True)).unionByName(others.withColumn("reserve", F.lit(False)))
 
 
 # ---------------------------------------------------------------- features and models

@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from flightlake.functions.metrics import count_where, ratio, rounded
 from flightlake.operators.compact import clean_compact
 from flightlake.operators.standard import clean_standard
-from flightlake.sources.files import layout_of, write_clean_table
+from flightlake.sources.files import ROW_ID, layout_of, write_clean_table
 
 
-def clean_flights(raw: DataFrame, enforce: bool = True) -> DataFrame:
-    """Clean either source layout; the column names tell which one it is."""
+def clean_flights(raw: DataFrame, enforce: bool = True, month: int | None = None) -> DataFrame:
+    """Clean either source layout; the column names tell which one it is.
+
+    `month` keeps that month of a compact file, which holds a whole year; a standard file is one month.
+    """
     if layout_of(raw) == "compact":
-        return clean_compact(raw)
+        return clean_compact(raw, month)
     return clean_standard(raw, enforce)
 
 
-def publish_clean(raw: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+def publish_clean(raw: DataFrame, path: str, mode: str = "errorifexists", month: int | None = None) -> DataFrame:
     """Clean `raw`, write the month-partitioned table, return it as read back."""
-    write_clean_table(clean_flights(raw), path, mode)
-    return raw.sparkSession.read.parquet(path)
+    write_clean_table(clean_flights(raw, month=month), path, mode)
+    return raw.sparkSession.read.parquet(path).drop(ROW_ID)
 
 
 def clean_summary(raw: DataFrame, clean: DataFrame) -> DataFrame:

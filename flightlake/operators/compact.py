@@ -102,7 +102,7 @@ def clean_compact(raw: DataFrame, month: int | None = None) -> DataFrame:
     """
     missing = missing_columns(raw, COMPACT_COLUMNS)
     if missing:
-        raise ValueError(f"Cleaning stopped because source columns are missing: {missing}")
+        raise ValueError(f"the raw table lacks these columns: {missing}")
     if month is not None:
         raw = raw.filter(casts.number(raw, "MONTH") == month)
     # parse every number once; everything below only refers to the parsed columns

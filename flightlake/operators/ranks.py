@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.session import staged
@@ -59,28 +59,18 @@ def exact_quantiles(df: DataFrame, value: str, shares: dict[str, float], name: s
     return ranked.agg(*picks).select(*results)
 
 
-def sorted_file_keys(spark: SparkSession, path: str, order: list[str], key: str) -> DataFrame:
-    """Rows of a table written in range order, with a dense 1..n `key`.
+def dense_keys(table: DataFrame, row_id: str, key: str, after: int = 0) -> tuple[DataFrame, int]:
+    """Rows of a table written in order, with a dense `key` from after + 1, and how many they are.
 
-    The files are sorted and do not overlap, so a row's number is its position
-    in its file plus the rows of all files before it.  No row is shuffled: the
-    only aggregate has one row per file.
+    `row_id` was stored by `monotonically_increasing_id` at the sorted write: the task in its high
+    bits, the position in its low 33.  A key is the position plus the rows of the tasks before it.
+    No row is shuffled: the offsets have one row per task of that write and are broadcast as such.
     """
-    table = spark.read.parquet(path).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    files = table.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*order)).alias("_first")
-    )
-    ahead = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = staged(
-        files.select("_file", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_offset")),
-        "file_offsets",
-    )
-    return (
-        table.join(offsets, "_file")
-        .withColumn(key, F.col("_offset") + F.col("_row") + 1)
-        .drop("_file", "_row", "_offset")
-    )
+    task = F.shiftrightunsigned(row_id, 33)
+    counts = table.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged(counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))), "task_offsets")
+    place = F.col(row_id).bitwiseAND(F.lit((1 << 33) - 1))
+    keyed = table.join(F.broadcast(offsets.select("_task", "_offset")), task == F.col("_task"))
+    rows = offsets.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    return keyed.withColumn(key, F.col("_offset") + place + after + 1).drop("_task", "_offset", row_id), rows

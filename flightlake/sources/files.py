@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from flightlake.contracts import CANONICAL_ORDER, CLEAN_KEY, COMPACT_COLUMNS, DASHBOARD_COLUMNS, RAW_COLUMNS
 
+#: column of a written table with the row's place in its order
+ROW_ID = "_row_id"
 # File names looked for first in a raw folder.
 PREFERRED_RAW_FILES = ["flights.csv", "flights_2024_01.csv"]
 
@@ -37,7 +39,7 @@ def create_exclusively(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
+def versions(spark: SparkSession, folder: str) -> list[int]:
     """Numbers N of the entries `version=N` of a folder, rising."""
     target, fs = _hadoop_path(spark, folder)
     if not fs.exists(target):
@@ -48,7 +50,7 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
 
 def next_version(spark: SparkSession, path: str) -> int:
     """A version of `path` that no other writer has; claims are files in `_claims`."""
-    version = max(_versions(spark, f"{path}/_claims"), default=0)
+    version = max(versions(spark, f"{path}/_claims"), default=0)
     while True:
         version += 1
         if create_exclusively(spark, f"{path}/_claims/version={version}"):
@@ -63,7 +65,7 @@ def complete_version(spark: SparkSession, path: str, version: int, parts: list[s
 
 def newest_version(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
     """The highest complete version and its tables; versions without an entry do not count."""
-    for version in reversed(_versions(spark, f"{path}/_versions")):
+    for version in reversed(versions(spark, f"{path}/_versions")):
         entry = f"{path}/_versions/version={version}"
         if path_exists(spark, f"{entry}/_SUCCESS"):
             return version, sorted(row["part"] for row in spark.read.parquet(entry).collect())
@@ -129,12 +131,15 @@ def write_clean_table(clean: DataFrame, path: str, mode: str = "errorifexists")
 
     One range shuffle does everything: a month (or a single day) with most of
     the rows is cut over many tasks because the range key ends in the full
-    natural key, and each task touches only one or two month folders.
+    natural key, and each task touches only one or two month folders.  Every row
+    keeps its place in that order as ROW_ID: the task in the high bits, the position
+    in the task's rows in the low 33.
     """
     order = ["year", "month", *CANONICAL_ORDER, *[c for c in CLEAN_KEY if c not in CANONICAL_ORDER]]
     (
         clean.repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .withColumn(ROW_ID, F.monotonically_increasing_id())
         .write.mode(mode)
         .partitionBy("year", "month")
         .parquet(path)
@@ -143,7 +148,7 @@ def write_clean_table(clean: DataFrame, path: str, mode: str = "errorifexists")
 
 def read_clean_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Clean table with its partition columns back in contract order."""
-    table = spark.read.parquet(path)
+    table = spark.read.parquet(path).drop(ROW_ID)
     if columns is None:
         from flightlake.contracts import CLEAN_BASE_COLUMNS
 
@@ -158,16 +163,6 @@ def write_report_csv(report: DataFrame, path: str, mode: str = "overwrite") -> N
     report.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Re-split a scan that has fewer splits than there are cores.
-
-    A small table in one file would otherwise keep a whole broadcast-join
-    pipeline in one task.  A table with enough splits is left alone: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     stamps = [c for c, kind in df.dtypes if kind == "timestamp"]

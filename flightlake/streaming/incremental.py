@@ -1,13 +1,14 @@
 """Monthly increments into a published star schema.
 
 One batch = one month of raw records.  Its content fingerprint is compared with
-the ledger first, dimensions are upserted, only facts with a new natural key are
-written, the counts are reconciled, and the load pointer moves last.
-`stream_folder` drives the same batch function from a file stream.
+the ledger first, dimensions are upserted (or made, for an empty target), only facts
+with a new natural key are written, under dense keys after the highest, and the
+manifest moves last.  `stream_folder` drives the same batch function from a file stream.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +19,21 @@ from flightlake.contracts import CLEAN_KEY, FACT_NATURAL_KEY
 from flightlake.functions.metrics import count_where, not_false
 from flightlake.operators.clean import clean_flights
 from flightlake.operators.duplicates import repeated_keys
-from flightlake.session import stage_path
-from flightlake.sources.files import path_exists, read_clean_table, write_clean_table
-from flightlake.warehouse.dimensions import (
-    airline_dimension,
-    airport_dimension,
-    date_dimension,
-    upsert,
-)
-from flightlake.warehouse.fact import fact_rows, require_matched
+from flightlake.operators.ranks import dense_keys
+from flightlake.session import stage_path, staged
+from flightlake.sources.files import ROW_ID, path_exists, read_clean_table, write_clean_table
+from flightlake.warehouse.dimensions import airline_dimension, airports_of, date_dimension, entities, upsert
+from flightlake.warehouse.fact import fact_rows
 from flightlake.warehouse.load import (
+    Published,
     Star,
+    batch_rows,
     load_path,
     publish,
-    published_loads,
+    publishing,
     read_loads,
+    write_counted,
+    write_facts,
 )
 
 LEDGER_SCHEMA = (
@@ -101,29 +102,23 @@ def new_facts(facts: DataFrame, existing: DataFrame, period: tuple[int, int] | N
         same = existing.filter((F.col("year") == period[0]) & (F.col("month") == period[1]))
         return facts.join(same.select(*FACT_NATURAL_KEY), FACT_NATURAL_KEY, "left_anti")
     months = facts.select("year", "month").distinct()
-    same_months = existing.join(F.broadcast(months), ["year", "month"], "left_semi")  # <= 12 a year
+    same_months = existing.join(months, ["year", "month"], "left_semi")
     return facts.join(same_months.select(*FACT_NATURAL_KEY), FACT_NATURAL_KEY, "left_anti")
 
 
-def _write_dimensions(star: Star, clean: DataFrame, target: str, batch: str) -> None:
-    """Next version of the three dimensions, known keys kept."""
-    merged = {
-        "dim_date": upsert(star.dim_date, date_dimension(clean), "date_key"),
-        "dim_airline": upsert(
-            star.dim_airline,
-            airline_dimension(clean).drop("airline_key"),
-            "reporting_airline_id",
-            "airline_key",
-        ),
-        "dim_airport": upsert(
-            star.dim_airport,
-            airport_dimension(clean).drop("airport_key"),
-            "airport_id",
-            "airport_key",
-        ),
-    }
-    for name, frame in merged.items():
-        frame.write.parquet(load_path(target, name, batch))
+def _write_dimensions(star: Star | None, clean: DataFrame, target: str, batch: str) -> dict[str, dict[str, int]]:
+    """Next version of the three dimensions, known keys kept; rows per table."""
+    dates, airlines, airports = entities(clean)
+    fresh = {"dim_date": date_dimension(dates), "dim_airline": airline_dimension(airlines), "dim_airport": airports_of(airports)}
+    if star is not None:
+        fresh = {
+            "dim_date": upsert(star.dim_date, fresh["dim_date"], "date_key"),
+            "dim_airline": upsert(
+                star.dim_airline, fresh["dim_airline"].drop("airline_key"), "reporting_airline_id", "airline_key"
+            ),
+            "dim_airport": upsert(star.dim_airport, fresh["dim_airport"].drop("airport_key"), "airport_id", "airport_key"),
+        }
+    return {name: {batch: write_counted(frame, load_path(target, name, batch))} for name, frame in fresh.items()}
 
 
 def _check_batch(clean: DataFrame, year: int, month: int) -> int:
@@ -137,50 +132,60 @@ def _check_batch(clean: DataFrame, year: int, month: int) -> int:
     return found["n"]
 
 
-def _append(clean: DataFrame, target: str, batch: str, period: tuple[int, int] | None = None) -> int:
-    """Write and publish the new facts of a clean month; returns how many there are."""
+def _append(clean: DataFrame, target: str, batch: str, period: tuple[int, int]) -> int:
+    """Write and publish the new facts of a clean month; returns how many there are.
+
+    The rows held before come from the manifest; keys are dense, so they are the highest key too.
+    A publisher that lost its version starts again from the winner's, under a new load name.
+    """
     spark = clean.sparkSession
-    version, loads = published_loads(spark, target)
-    star = read_loads(spark, target, loads)
-    _write_dimensions(star, clean, target, batch)
-    after = {**{name: [batch] for name in loads}, "fact_flight": loads["fact_flight"]}
-    dims = read_loads(spark, target, after)
-    facts = fact_rows(clean, dims.dim_airline, dims.dim_airport, ["year", "month"])
-    top = star.fact_flight.agg(F.coalesce(F.max("flight_key"), F.lit(0))).first()[0]
-    # unique, increasing keys after the highest one; written once, so they stay fixed
-    keyed = new_facts(facts, star.fact_flight, period).withColumn(
-        "flight_key", F.monotonically_increasing_id() + top + 1
-    )
-    path = load_path(target, "fact_flight", batch)
-    keyed.write.partitionBy("year", "month").parquet(path)
-    written = spark.read.schema(keyed.schema).parquet(path)
-    require_matched(written)
-    added = written.count()
-    if added:
-        after["fact_flight"] = [*loads["fact_flight"], batch]
-    before, total = star.fact_flight.count(), read_loads(spark, target, after).fact_flight.count()
-    if total != before + added:
-        raise RuntimeError(f"Fact count {total:,} differs from {before:,} + {added:,}.")
-    publish(spark, target, version + 1, after)
+    added = 0
+
+    def build(current: Published) -> None:
+        nonlocal added
+        name = uuid.uuid4().hex  # what a loser or a killed attempt has written stays unpublished
+        star = read_loads(spark, target, current.loads) if current.loads else None
+        after = _write_dimensions(star, clean, target, name)
+        airlines, airports = (spark.read.parquet(load_path(target, t, name)) for t in ("dim_airline", "dim_airport"))
+        facts = fact_rows(clean, airlines, airports, ["year", "month"])
+        fresh = facts if star is None else new_facts(facts, star.fact_flight, period)
+        order = list(FACT_NATURAL_KEY)
+        sorted_ = fresh.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(ROW_ID, F.monotonically_increasing_id())
+        keyed, expected = dense_keys(staged(sorted_, "batch_facts"), ROW_ID, "flight_key", current.rows("fact_flight"))
+        after["fact_flight"] = dict(current.loads.get("fact_flight", {}))
+        if not expected and star is None:
+            raise ValueError("a batch without flights cannot start a warehouse")
+        added = write_facts(keyed, load_path(target, "fact_flight", name)) if expected else 0
+        if added != expected:
+            raise RuntimeError(f"{added:,} fact rows were written, {expected:,} are new")
+        if added:
+            after["fact_flight"][name] = added
+        publish(spark, target, current.version + 1, after, name, batch)
+
+    publishing(spark, target, build)
     return added
 
 
-def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
-    """Load one month; returns `complete`, `skipped` or raises after recording the failure."""
+def load_batch(raw: DataFrame, target: str, year: int, month: int, batch: str | None = None) -> str:
+    """Load one month; returns `complete`, `skipped` or raises after recording the failure.
+
+    `batch` names the delivery: a batch that some version already holds is not loaded again,
+    whatever became of its ledger entry.
+    """
     spark = raw.sparkSession
     mark = fingerprint(raw)
+    common = {"fingerprint": mark, "reporting_year": year, "reporting_month": month}
+    known = batch_rows(spark, target, batch) if batch else None
     if is_loaded(spark, target, mark):
         return "skipped"
-    batch = uuid.uuid4().hex
-    common = {
-        "batch_id": batch,
-        "fingerprint": mark,
-        "reporting_year": year,
-        "reporting_month": month,
-    }
+    if known is not None:  # published, then lost before its ledger entry
+        _record(spark, target, **common, batch_id=batch, loaded_row_count=known, status="complete")
+        return "skipped"
+    batch = batch or uuid.uuid4().hex
+    common["batch_id"] = batch
     try:
         clean_path = stage_path(spark, "batch_clean")
-        write_clean_table(clean_flights(raw), clean_path)
+        write_clean_table(clean_flights(raw, month=month), clean_path)
         clean = read_clean_table(spark, clean_path)
         rows = _check_batch(clean, year, month)
         added = _append(clean, target, batch, (year, month))
@@ -198,22 +203,35 @@ def load_batch(raw: DataFrame, target: str, year: int, month: int) -> str:
     return "complete"
 
 
+def landed(batch: DataFrame, path: str) -> DataFrame:
+    """The batch written to `path` once; a replay reads what was landed and not the source."""
+    spark = batch.sparkSession
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)
+
+
 def stream_folder(
     spark: SparkSession, folder: str, schema, target: str, checkpoint: str
 ) -> StreamingQuery:
     """Load every new monthly CSV of a folder, then stop (one file per micro-batch).
 
-    The stream's checkpoint remembers files by name, the ledger by content, so a
-    restarted batch or a renamed copy is skipped.
+    The stream's checkpoint remembers files by name, the ledger by content, so a renamed copy
+    is skipped.  A micro-batch is landed once and published under an id made of the stream and
+    its number: a batch that was cut short is taken up from what was landed, one that was
+    published before the cut is recognised by its id.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
-    def load(batch: DataFrame, _: int) -> None:
-        months = batch.select("YEAR", "MONTH").distinct().limit(2).collect()
+    def load(batch: DataFrame, number: int) -> None:
+        name = f"{stream}-{number}"
+        rows = landed(batch, f"{target}/_landing/batch={name}")
+        months = rows.select("YEAR", "MONTH").distinct().limit(2).collect()
         if not months:
             return
         if len(months) > 1:
             raise ValueError("A monthly file must hold one month.")
-        load_batch(batch, target, int(months[0]["YEAR"]), int(months[0]["MONTH"]))
+        load_batch(rows, target, int(months[0]["YEAR"]), int(months[0]["MONTH"]), name)
 
     source = (
         spark.readStream.schema(schema)

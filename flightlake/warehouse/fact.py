@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.contracts import FACT_BOOLEANS, FACT_COLUMNS
@@ -54,12 +54,16 @@ def fact_rows(
     return facts
 
 
+def unmatched() -> Column:
+    """How many fact rows lack a dimension row, to be counted while they are written."""
+    return count_where(any_of([F.col(c).isNull() for c in LOOKED_UP]))
+
+
+def stop_on_unmatched(rows: int) -> None:
+    if rows:
+        raise ValueError(f"{rows:,} fact rows refer to an airline or airport that has no dimension row")
+
+
 def require_matched(facts: DataFrame) -> None:
     """Raise when a fact row has no dimension row (reads the key columns only)."""
-    unmatched = facts.agg(
-        count_where(any_of([F.col(c).isNull() for c in LOOKED_UP]))
-    ).first()[0]
-    if unmatched:
-        raise ValueError(
-            f"One or more fact rows could not be matched to warehouse dimensions: {unmatched:,}"
-        )
+    stop_on_unmatched(facts.agg(unmatched()).first()[0])

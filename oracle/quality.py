@@ -399,3 +399,4 @@ edge_fact AS MATERIALIZED (
   LEFT JOIN dim_airport t ON c.destination_airport_id = t.airport_id
 )""",
 )
+SQL["dq_csv_roundtrip"] = SQL["dq_raw"]

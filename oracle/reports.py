@@ -38,7 +38,24 @@ UNION ALL SELECT 'dim_airport', count(*) FROM dim_airport
 UNION ALL SELECT 'fact_flight', count(*) FROM fact"""
 SQL["incr_new_facts"] = f"""{STAR}
 SELECT {', '.join(K.FACT_NATURAL_KEY)} FROM fact
-WHERE date_key // 100 = (SELECT max(date_key) // 100 FROM fact)"""
+WHERE date_key // 100 = (SELECT date_key // 100 AS m FROM fact GROUP BY m ORDER BY count(*) DESC, m LIMIT 1)
+  AND date_key % 100 > 15"""
+SQL["incr_ledger"] = f"""{CLEAN},
+busy AS (
+  SELECT year(flight_date) AS y, month(flight_date) AS m FROM clean GROUP BY ALL ORDER BY count(*) DESC, y, m LIMIT 1
+),
+month AS (
+  SELECT y, m, count(*) AS n, count(*) FILTER (WHERE day(flight_date) <= 15) AS half
+  FROM clean, busy WHERE year(flight_date) = y AND month(flight_date) = m GROUP BY ALL
+)
+SELECT d.delivery, d.outcome, CAST(y AS INTEGER) AS reporting_year, CAST(m AS INTEGER) AS reporting_month,
+  CASE d.delivery WHEN 'corrected' THEN n ELSE half END AS source_row_count,
+  CASE d.delivery WHEN 'corrected' THEN n - half ELSE half END AS loaded_row_count, n AS facts, n AS top_key
+FROM month, (VALUES ('half', 'complete'), ('corrected', 'complete'), ('renamed', 'skipped')) d(delivery, outcome)"""
+SQL["load_guard"] = f"""{CLEAN}
+SELECT s.step, s.outcome, CAST(s.version AS INTEGER) AS version, count(*) AS fact_rows FROM clean,
+  (VALUES ('first', 'loaded', 1), ('again', 'refused', 1), ('replace', 'loaded', 2)) s(step, outcome, version)
+GROUP BY ALL"""
 
 # ---- views
 
@@ -165,9 +182,13 @@ _otp = pct(_on_time, "count(arrival_on_time)")
 _late15 = pct("count(*) FILTER (WHERE arrival_delayed_15 = 1)", "count(arrival_delayed_15)")
 _mean = r("avg(arrival_delay_minutes)")
 SQL["dash_filtered"] = f"""{CLEAN}
-SELECT flight_number, flight_date, reporting_airline_code, route_code, flight_status FROM clean
-WHERE reporting_airline_code IN ('C01', 'C05') AND origin_airport_code IN ('A03', 'A07', 'A11')
-  AND flight_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"""
+SELECT 'chosen' AS filter, flight_number, flight_date, reporting_airline_code, route_code, flight_status FROM clean
+WHERE reporting_airline_code IN (SELECT DISTINCT reporting_airline_code FROM clean ORDER BY 1 LIMIT 2)
+  AND origin_airport_code IN (SELECT origin_airport_code FROM clean GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3)
+  AND flight_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+UNION ALL
+SELECT 'empty lists', flight_number, flight_date, reporting_airline_code, route_code, flight_status FROM clean
+WHERE flight_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
 SQL["dash_options"] = f"""{CLEAN}
 SELECT DISTINCT 'carrier' AS option, reporting_airline_code AS value FROM clean
 UNION ALL SELECT 'first_date', CAST(min(flight_date) AS VARCHAR) FROM clean
@@ -236,5 +257,6 @@ SELECT origin_airport_code, count(*) AS flights,
 FROM done WHERE scheduled_departure_hour >= 16 GROUP BY origin_airport_code"""
 SQL["find_reserve_carriers"] = f"""{_DONE}
 SELECT reporting_airline_code, count(flight_number) AS total_flights, {_late15} AS delay_rate_pct,
-  {big('sum(carrier_delay_minutes) * 101.90')} AS carrier_delay_cost_usd
-FROM done GROUP BY reporting_airline_code HAVING {_late15} > 22.0"""
+  {big('sum(carrier_delay_minutes) * 101.90')} AS carrier_delay_cost_usd,
+  {_late15} > quantile_cont({_late15}, 0.5) OVER () AS reserve
+FROM done GROUP BY reporting_airline_code"""

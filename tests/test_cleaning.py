@@ -122,15 +122,15 @@ def test_exact_duplicates_are_removed_and_counted(raw):
 @pytest.mark.parametrize(
     "fault, message",
     [
-        (dict(FL_DATE="not-a-date"), "1 invalid flight dates"),
-        (dict(ORIGIN_AIRPORT_ID=None), "missing flight key values"),
-        (dict(CRS_DEP_TIME="2460"), "invalid scheduled_departure_time"),
-        (dict(CRS_ARR_TIME="2401"), "invalid scheduled_arrival_time"),
-        (dict(ORIGIN=None), "required warehouse values are missing: origin_airport_code=1, route_code=1"),
-        (dict(DISTANCE="abc"), "required warehouse values are missing: distance_miles=1"),
-        (dict(CANCELLED="1", DIVERTED="1"), "both cancelled and diverted"),
-        (dict(CANCELLED="2"), "invalid cancelled/diverted"),
-        (dict(DIVERTED=None), "invalid cancelled/diverted"),
+        (dict(FL_DATE="not-a-date"), "1 rows have no readable flight date"),
+        (dict(ORIGIN_AIRPORT_ID=None), "lack a part of the flight key"),
+        (dict(CRS_DEP_TIME="2460"), "scheduled departure that is no time"),
+        (dict(CRS_ARR_TIME="2401"), "scheduled arrival that is no time"),
+        (dict(ORIGIN=None), "the warehouse needs: origin_airport_code=1, route_code=1"),
+        (dict(DISTANCE="abc"), "the warehouse needs: distance_miles=1"),
+        (dict(CANCELLED="1", DIVERTED="1"), "cancelled and diverted at once"),
+        (dict(CANCELLED="2"), "status flag other than 0 and 1"),
+        (dict(DIVERTED=None), "status flag other than 0 and 1"),
         (dict(FLIGHTS="1.5"), "do not fit an integer column"),
         (dict(QUARTER="300"), "do not fit an integer column"),
     ],
@@ -141,7 +141,7 @@ def test_gates_reject(raw, fault, message):
 
 
 def test_missing_column_is_rejected(raw):
-    with pytest.raises(ValueError, match=r"source columns are missing: \['TAIL_NUM'\]"):
+    with pytest.raises(ValueError, match=r"lacks these columns: \['TAIL_NUM'\]"):
         clean_flights(raw().drop("TAIL_NUM"))
 
 

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from flightlake.operators.clean import clean_flights, publish_clean
+from flightlake.operators.ranks import dense_keys
 from flightlake.operators.standard import clean_standard
 from flightlake.plans import views
 from flightlake.quality.rules import overall, require_pass
+from flightlake.sources import files
 from flightlake.streaming import incremental
 from flightlake.warehouse import checks, dimensions, load
 from flightlake.warehouse.fact import fact_rows
@@ -39,7 +41,7 @@ def test_date_dimension(raw):
 
 def test_airline_dimension_rejects_conflicting_codes(raw):
     clean = clean_flights(raw({}, dict(OP_CARRIER_FL_NUM="2", OP_UNIQUE_CARRIER="ZZ")))
-    with pytest.raises(ValueError, match="Conflicting airline"):
+    with pytest.raises(ValueError, match="1 airline ids have several.*airline_conflicts"):
         dimensions.airline_dimension(clean)
 
 
@@ -51,17 +53,18 @@ def test_airport_dimension_joins_both_roles(raw):
 
 def test_airport_dimension_rejects_missing_code_and_conflicts(raw):
     clean = clean_standard(raw(dict(ORIGIN=None)), enforce=False)
-    with pytest.raises(ValueError, match="missing IDs or airport codes"):
+    with pytest.raises(ValueError, match="no id or no code"):
         dimensions.airport_dimension(clean)
-    with pytest.raises(ValueError, match="Conflicting airport"):
+    with pytest.raises(ValueError, match="1 airport ids have several"):
         dimensions.airport_dimension(clean_flights(raw({}, dict(OP_CARRIER_FL_NUM="2", DEST="LAY"))))
 
 
-def test_load_input_needs_required_values(raw):
+def test_load_input_needs_required_values(spark, raw, tmp_path):
     clean = clean_standard(raw(dict(DISTANCE=None)), enforce=False)
-    with pytest.raises(ValueError, match="required values are missing: distance_miles=1"):
-        load.validate_load_input(clean)
-    with pytest.raises(ValueError, match="missing warehouse columns"):
+    files.write_clean_table(clean, str(tmp_path / "clean"))
+    with pytest.raises(ValueError, match="needs these values: distance_miles=1"):
+        load.load_warehouse(spark, str(tmp_path / "clean"), str(tmp_path / "target"))
+    with pytest.raises(ValueError, match="lacks columns of the warehouse"):
         load.validate_load_input(clean.drop("route_code"))
 
 
@@ -73,7 +76,7 @@ def test_fact_maps_surrogate_keys(spark, raw):
     assert [r["airline_key"] for r in rows] == [7, 7]
     assert [r["origin_airport_key"] for r in rows] == [11, 12]
     assert [r["destination_airport_key"] for r in rows] == [12, 11]
-    with pytest.raises(ValueError, match="could not be matched"):
+    with pytest.raises(ValueError, match="no dimension row"):
         fact_rows(clean, airlines, airports.filter("airport_id = 10721"), enforce=True)
 
 
@@ -98,7 +101,7 @@ def test_load_counts_and_views(spark, published):
 
 def test_reload_guard_and_replace(spark, published):
     clean_path, target, _ = published
-    with pytest.raises(RuntimeError, match="already contains 2 rows"):
+    with pytest.raises(RuntimeError, match="already holds 2 fact rows"):
         load.load_warehouse(spark, clean_path, target)
     counts = load.load_warehouse(spark, clean_path, target, replace=True)
     assert {r["table_name"]: r["row_count"] for r in counts.collect()}["fact_flight"] == 2
@@ -180,3 +183,87 @@ def test_increment_of_known_flights_adds_nothing(spark, raw, published):
     assert incremental.load_batch(raw({**BACK, "TAIL_NUM": "N7"}), target, 2024, 1) == "complete"
     assert load.open_star(spark, target).fact_flight.count() == 2
     assert incremental.read_ledger(spark, target).first()["loaded_row_count"] == 0
+
+
+def test_first_batch_starts_a_warehouse(spark, raw, tmp_path):
+    target = str(tmp_path / "empty")
+    month = raw(*[dict(OP_CARRIER_FL_NUM=str(n), CRS_DEP_TIME=str(600 + n)) for n in range(1, 8)])
+    assert incremental.load_batch(month, target, 2024, 1) == "complete"
+    # a corrected month brings two flights, a renamed copy none
+    more = raw(*[dict(OP_CARRIER_FL_NUM=str(n), CRS_DEP_TIME=str(600 + n)) for n in range(1, 10)])
+    assert incremental.load_batch(more, target, 2024, 1) == "complete"
+    assert incremental.load_batch(more.orderBy(F.desc("OP_CARRIER_FL_NUM")), target, 2024, 1) == "skipped"
+    star = load.open_star(spark, target)
+    assert sorted(r[0] for r in star.fact_flight.select("flight_key").collect()) == list(range(1, 10))
+    ledger = incremental.read_ledger(spark, target).orderBy("loaded_at").collect()
+    assert [(r["source_row_count"], r["loaded_row_count"]) for r in ledger] == [(7, 7), (9, 2)]
+    require_pass(checks.check_constraints(star), "Constraints")
+
+
+def test_one_publisher_wins_a_version(spark, raw, published, monkeypatch):
+    clean_path, target, _ = published
+    monkeypatch.setattr(load, "WAIT_SECONDS", 0.0)
+    before = load.published(spark, target)
+    load.publish(spark, target, 2, before.loads)
+    with pytest.raises(load.VersionTaken):
+        load.publish(spark, target, 2, before.loads)
+    # an increment that read version 1 loses, reads again and builds on version 2
+    seen, read = [], load.published
+
+    def stale(spark, target):
+        seen.append(1)
+        return before if len(seen) == 1 else read(spark, target)
+
+    monkeypatch.setattr(load, "published", stale)
+    assert incremental.load_batch(raw(FEBRUARY), target, 2024, 2) == "complete"
+    assert read(spark, target).version == 3 and load.open_star(spark, target).fact_flight.count() == 3
+    # a claim whose writer died is reported
+    assert files.create_exclusively(spark, f"{target}/_claims/version=4")
+    with pytest.raises(RuntimeError, match="version 4 is claimed"):
+        load.load_warehouse(spark, clean_path, target, replace=True)
+    assert read(spark, target).version == 3
+
+
+@pytest.mark.parametrize("cut", ["publish", "_record"])
+def test_stream_is_taken_up_after_a_cut(spark, raw, published, tmp_path, monkeypatch, cut):
+    """The stream dies before the manifest is written, or between manifest and ledger."""
+    _, target, _ = published
+    folder = str(tmp_path / "incoming")
+    raw(FEBRUARY, {**FEBRUARY, "OP_CARRIER_FL_NUM": "8"}).coalesce(1).write.option("header", True).csv(folder)
+    real, calls = getattr(incremental, cut), []
+
+    def once(*args, **fields):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("cut")
+        return real(*args, **fields)
+
+    monkeypatch.setattr(incremental, cut, once)
+    landings = []
+    landed = incremental.landed
+    monkeypatch.setattr(incremental, "landed", lambda batch, path: landings.append(files.path_exists(spark, path)) or landed(batch, path))
+    for _ in range(2):
+        query = incremental.stream_folder(spark, folder, raw().schema, target, str(tmp_path / "checkpoint"))
+        try:
+            query.awaitTermination(180)
+        except Exception as error:
+            assert "cut" in str(error)
+    assert landings == [False, True]  # the source is read once, the replay takes what was landed
+    assert load.open_star(spark, target).fact_flight.count() == 4
+    done = [r for r in incremental.read_ledger(spark, target).collect() if r["status"] == "complete"]
+    assert [r["loaded_row_count"] for r in done] == [2]
+
+
+def test_keys_need_no_exchange_of_fact_rows(spark, raw, tmp_path):
+    clean_path = str(tmp_path / "clean")
+    publish_clean(raw(*[dict(OP_CARRIER_FL_NUM=str(n)) for n in range(1, 40)]), clean_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        keyed, rows = dense_keys(spark.read.parquet(clean_path), files.ROW_ID, "flight_key")
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        found = keyed.orderBy("flight_key").select("flight_key", "flight_number").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == 39 and [tuple(r) for r in found] == [(n, n) for n in range(1, 40)]
+
