@@ -91,7 +91,7 @@ def _schedule(sources: DataFrame, total: int, slots: int) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, slots: int = SLOTS, count: str | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, text_key) for every row of `docs`.
+    """(doc_id, size, source_size, target, taken, source, text_key) for every row of `docs`.
 
     `docs` has doc_id, source and text.  Null text and text without words have size 0
     and nothing taken; a null source is a source of its own, the last.  Repeated rows
@@ -155,7 +155,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, slots: int = SLOTS, count: str
         rows.withColumn("start", key)
         .join(taken, ["sid", "start"], "left")
         .withColumn("taken", F.coalesce("words_taken", F.lit(0)).cast("long"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "text_key")
+        .select("doc_id", "size", "source_size", "target", "taken", "source", "text_key")
     )
 
 
