@@ -22,7 +22,8 @@ fact_keys vw_flight_detail vw_overview_metrics vw_daily_performance vw_airline_p
 vw_origin_airport_performance vw_route_performance vw_departure_hour_performance
 vw_delay_cause_by_airline vw_carrier_monthly_performance vw_airport_congestion_hourly
 vw_delay_cascade_root_cause vw_high_risk_corridors dash_kpis dash_top_hubs dash_top_routes
-ml_features ml_heuristic_pred ml_regression_metrics ml_auc score_blended
+ml_features ml_heuristic_pred ml_regression_metrics ml_auc score_blended score_tree_blend
+ml_hist_first_tree ml_rate_importance profile_period
 """.split()
 
 

@@ -178,6 +178,7 @@ def query(name: str):
 
 
 _KEY = ["flight_number", "flight_date"]
+_FIRST, _LAST = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -434,6 +435,19 @@ def _(ws):
     return profile.flight_volumes(ws.edge)
 
 
+@query("profile_period")
+def _(ws):
+    """Distinct counts of four years, exact and from month sketches: is the estimate within three errors?"""
+    path = stage_path(ws.spark, "month_profiles")
+    profile.write_month_profiles(ws.clean, path)
+    found = profile.period_profile(ws.spark.read.parquet(path), (_FIRST.year, 1), (_LAST.year, 12))
+    inside = ws.clean.filter(F.col("flight_date").between(F.lit(_FIRST), F.lit(_LAST)))
+    exact = inside.agg(F.count(F.lit(1)).alias("flights"), *[F.countDistinct(c).alias(c) for c in profile.SKETCHED])
+    both = found.join(exact.unpivot([], exact.columns, "metric", "exact_count"), "metric")
+    near = F.abs(F.col("estimate") - F.col("exact_count")) <= 3 * profile.SKETCH_ERROR * F.col("exact_count") + 1
+    return both.select("metric", "exact_count", near.alias("within_bound"))
+
+
 _RULE = ["rule_name", "severity", "status", "failed_row_count"]
 
 
@@ -638,9 +652,6 @@ for _name, _build in views.VIEWS.items():
 
 # ---------------------------------------------------------------- dashboard
 
-_FIRST, _LAST = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
-
-
 @query("dash_filtered")
 def _(ws):
     """Two carriers from three origins in four years; and, with empty lists, everything in the first year."""

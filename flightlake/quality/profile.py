@@ -131,3 +131,32 @@ def flight_volumes(raw: DataFrame, approximate: bool = False) -> DataFrame:
         F.sum("diverted").alias("diverted_flights"),
         F.sum("late").alias("late_flights"),
     )
+
+
+# ---------------------------------------------------------------- mergeable profiles
+
+SKETCHED = ["reporting_airline_id", "origin_airport_id", "destination_airport_id", "route_code", "flight_number"]
+#: log2 of the registers of a sketch, and its relative standard error
+SKETCH_BITS, SKETCH_ERROR = 12, 1.04 / 2**6
+
+
+def write_month_profiles(clean: DataFrame, path: str) -> None:
+    """One row a month beside the clean table: rows and a distinct-count sketch (4 KB at most) per column."""
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(c) for c in SKETCHED]
+    months = clean.groupBy("year", "month").agg(F.count(F.lit(1)).alias("flights"), *sketches)
+    months.write.mode("errorifexists").parquet(path)
+
+
+def period_profile(months: DataFrame, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """(metric, estimate) of a period from its months' sketches alone; the flights are not read again.
+
+    Sketches of months are united, so an id that flies in several months counts once.  A period
+    without months has estimate 0.
+    """
+    at = F.struct("year", "month")
+    inside = months.filter((at >= F.struct(F.lit(first[0]), F.lit(first[1]))) & (at <= F.struct(F.lit(last[0]), F.lit(last[1]))))
+    united = inside.agg(
+        F.coalesce(F.sum("flights"), F.lit(0)).alias("flights"),
+        *[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(c) for c in SKETCHED],
+    )
+    return united.unpivot([], ["flights", *SKETCHED], "metric", "estimate")

@@ -189,6 +189,11 @@ WHERE reporting_airline_code IN (SELECT DISTINCT reporting_airline_code FROM cle
 UNION ALL
 SELECT 'empty lists', flight_number, flight_date, reporting_airline_code, route_code, flight_status FROM clean
 WHERE flight_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
+_period = "FROM clean WHERE flight_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
+_sketched = ["reporting_airline_id", "origin_airport_id", "destination_airport_id", "route_code", "flight_number"]
+SQL["profile_period"] = f"{CLEAN}\nSELECT 'flights' AS metric, count(*) AS exact_count, true AS within_bound {_period}" + "".join(
+    f"\nUNION ALL SELECT '{c}', count(DISTINCT {c}), true {_period}" for c in _sketched
+)
 SQL["dash_options"] = f"""{CLEAN}
 SELECT DISTINCT 'carrier' AS option, reporting_airline_code AS value FROM clean
 UNION ALL SELECT 'first_date', CAST(min(flight_date) AS VARCHAR) FROM clean

@@ -116,3 +116,22 @@ def test_parquet_fallback(spark, raw, tmp_path):
     assert files.read_parquet(spark, str(tmp_path / "first"), second).count() == 1
     with pytest.raises(FileNotFoundError):
         files.read_parquet(spark, str(tmp_path / "first"))
+
+
+def test_month_sketches_unite(spark, tmp_path):
+    rows = [(2024, m, n % 7, n, n, f"r{n % 50}", n + 1000 * (m > 1)) for m in (1, 2, 3) for n in range(1000)]
+    schema = "year int, month int, reporting_airline_id int, origin_airport_id int, destination_airport_id int, route_code string, flight_number bigint"
+    path = str(tmp_path / "months")
+    profile.write_month_profiles(spark.createDataFrame(rows, schema), path)
+    months = spark.read.parquet(path)
+    assert months.count() == 3
+
+    def found(first, last):
+        return {r["metric"]: r["estimate"] for r in profile.period_profile(months, first, last).collect()}
+
+    year = found((2024, 1), (2024, 3))
+    assert (year["flights"], year["reporting_airline_id"], year["route_code"]) == (3000, 7, 50)
+    for metric, exact in (("origin_airport_id", 1000), ("flight_number", 2000)):
+        assert abs(year[metric] - exact) <= 3 * profile.SKETCH_ERROR * exact
+    assert found((2024, 2), (2024, 2))["flights"] == 1000
+    assert not any(found((2025, 1), (2025, 12)).values())
