@@ -1,14 +1,15 @@
 """Line deduplication with a segment-partition edit join.
 
-Lines are what `\\n` separates.  Two lines of NEAR_CHARS code points or more link when
-their edit distance is at most EDITS; shorter lines link only when they are equal; lines
-of white space alone never do.  Of every class of lines linked, directly or through others,
-the first occurrence by (doc_id, text digest, line number) stays and the others go.
-
-1. Every line is cut into EDITS + 1 segments.  If two lines link, a whole segment of the
-   not longer one stands in the other, near its own place; the substrings that can be it
-   follow from both lengths (left and right shift limits).  Segments and substrings meet by
-   hash, each with a sketch of its line's characters that rules most wrong pairs out at once.
+Lines are what `\\n` separates.  Two lines link when their edit distance is at most one for
+every CHARS_PER_EDIT code points of the shorter line, and at most EDITS; lines of white space
+alone never do.  Of every class of lines linked, directly or through others, the first
+occurrence by (doc_id, text digest, line number) stays and the others go.
+
+1. A line is cut into one segment more than the edits its length allows.  If two lines link,
+   a whole segment of the not longer one stands in the other, near its own place; the
+   substrings that can be it follow from both lengths (left and right shift limits).
+   Segments and substrings meet by hash, each with a sketch of its line's characters that
+   rules most wrong pairs out at once.
 2. Texts of the remaining pairs are fetched, and each pair is verified by an automaton of
    edit states, one bit per diagonal of the band, for all pairs of a batch at once.
 3. Components of the links are the classes.
@@ -31,7 +32,7 @@ from flightlake.llm.words import blocks, bucket_of, bytes_of, mix
 from flightlake.session import staged
 
 EDITS = 2
-NEAR_CHARS = 32
+CHARS_PER_EDIT = 12
 _SHORT = (1 << 40) - 1
 _FLUSH = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -101,22 +102,31 @@ def _segments(length: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.nd
     return base * i + longer, base + (i >= parts - extra)
 
 
-def segment_entries(lines: _Lines, take: np.ndarray, edits: int):
+def allowed(length: np.ndarray, edits: int, per: int) -> np.ndarray:
+    """Edits that a pair may differ by whose shorter line has this length."""
+    return np.clip(length // per, 0, edits)
+
+
+def segment_entries(lines: _Lines, take: np.ndarray, edits: int, per: int):
     """(line, key, is_segment) for the segments and the probed substrings of the lines `take`."""
-    start, length = lines.start[take], lines.end[take] - lines.start[take]
+    length = lines.end[take] - lines.start[take]
     for shorter in range(edits + 1):
-        target = length - shorter
-        for i in range(edits + 1):
-            at, size = _segments(target, i, edits)
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                own = shorter == 0 and shift == 0
-                begin = start + at + shift
-                fits = (at + shift >= 0) & (at + shift + size <= length) & (size > 0)
-                salt = mix((target * 64 + i).astype(np.uint64))
-                key = mix(lines.hash(begin[fits], (begin + size)[fits]) ^ salt[fits])
-                yield take[fits], key, own
+        may = allowed(length - shorter, edits, per)
+        for most in range(max(shorter, 1), edits + 1):
+            some = np.flatnonzero(may == most)
+            start, whole = lines.start[take[some]], length[some]
+            target = whole - shorter
+            for i in range(most + 1):
+                at, size = _segments(target, i, most)
+                low = max(-i, shorter - (most - i))
+                high = min(i, shorter + (most - i))
+                for shift in range(low, high + 1):
+                    own = shorter == 0 and shift == 0
+                    begin = start + at + shift
+                    fits = (at + shift >= 0) & (at + shift + size <= whole) & (size > 0)
+                    salt = mix((target * 64 + i).astype(np.uint64))
+                    key = mix(lines.hash(begin[fits], (begin + size)[fits]) ^ salt[fits])
+                    yield take[some[fits]], key, own
 
 
 def _sketches(lines: _Lines, take: np.ndarray) -> np.ndarray:
@@ -146,7 +156,7 @@ def _unpacked(x: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.int64)
 
 
-def _index(edits: int, near: int, buckets: int):
+def _index(edits: int, per: int, buckets: int):
     """Segments and substrings of the distinct lines of a task, packed by bucket."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
@@ -168,7 +178,7 @@ def _index(edits: int, near: int, buckets: int):
         held, count = [], 0
         for batch in batches:
             for _, lines in _line_blocks(batch):
-                able = np.flatnonzero((lines.end - lines.start >= near) & ~lines.blank)
+                able = np.flatnonzero((lines.end - lines.start >= per) & ~lines.blank)
                 nodes = lines.hash(lines.start, lines.end).view(np.int64)
                 new = []
                 for i, node in zip(able.tolist(), nodes[able].tolist()):
@@ -180,7 +190,7 @@ def _index(edits: int, near: int, buckets: int):
                 take = np.array(new)
                 sketch = np.zeros(len(nodes), np.uint64)
                 sketch[take] = _sketches(lines, take)
-                for who, key, own in segment_entries(lines, take, edits):
+                for who, key, own in segment_entries(lines, take, edits, per):
                     held.append((key, nodes[who] & _SHORT, sketch[who], own))
                     count += len(who)
                 if count > _FLUSH:
@@ -228,7 +238,7 @@ def _pairs(edits: int):
     return run
 
 
-def _texts(near: int, bits):
+def _texts(per: int, bits):
     """(short, node, line) of the lines that pass the sieve, once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +247,7 @@ def _texts(near: int, bits):
             out = []
             for _, lines in _line_blocks(batch):
                 nodes = lines.hash(lines.start, lines.end).view(np.int64)
-                able = (lines.end - lines.start >= near) & ~lines.blank
+                able = (lines.end - lines.start >= per) & ~lines.blank
                 for i in np.flatnonzero(able & passes(bits.value, nodes & _SHORT)):
                     if (node := int(nodes[i])) not in seen:
                         seen.add(node)
@@ -251,8 +261,8 @@ def _texts(near: int, bits):
     return run
 
 
-def within(first: list[str], second: list[str], edits: int) -> np.ndarray:
-    """Which pairs of lines have an edit distance of at most `edits`.
+def within(first: list[str], second: list[str], most: int | np.ndarray) -> np.ndarray:
+    """Which pairs of lines have an edit distance of at most `most`, one bound for all or one for each pair.
 
     State e holds a bit for each diagonal of the band that e edits can reach.  A step
     over a character of the second line keeps a diagonal where the first has the same
@@ -261,6 +271,8 @@ def within(first: list[str], second: list[str], edits: int) -> np.ndarray:
     """
     n = len(first)
     a, b = (np.array([len(t) for t in side], np.int64) for side in (first, second))
+    limit = np.broadcast_to(most, n)
+    edits = int(limit.max(initial=0))
     ok = np.abs(a - b) <= edits
     width = int(max(a.max(initial=0), b.max(initial=0))) + 2 * edits + 1
 
@@ -288,10 +300,10 @@ def within(first: list[str], second: list[str], edits: int) -> np.ndarray:
         live = j < b  # a line that has ended keeps its states
         state = [np.where(live, x, y) for x, y in zip(new, state)]
     end = np.clip(a - b + edits, 0, 2 * edits).astype(np.uint16)
-    return ok & ((state[-1] >> end) & 1 == 1)
+    return ok & ((np.stack(state)[limit, np.arange(n)] >> end) & 1 == 1)
 
 
-def _verified(edits: int):
+def _verified(edits: int, per: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
@@ -302,7 +314,8 @@ def _verified(edits: int):
                 keep = []
                 for low in range(0, len(order), 250):  # pairs of like length side by side
                     some = order[low : low + 250]
-                    keep += np.array(some)[within([x[i] for i in some], [y[i] for i in some], edits)].tolist()
+                    most = allowed(np.array([min(len(x[i]), len(y[i])) for i in some]), edits, per)
+                    keep += np.array(some)[within([x[i] for i in some], [y[i] for i in some], most)].tolist()
                 yield part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
@@ -320,35 +333,35 @@ def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(lines.number[some].astype(np.int32))], names=["node", "doc_id", "text_key", "line"])
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT) -> DataFrame:
     """(node, root) of every line that is linked with a different one."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("text").cast("string"))
     entries = texts.mapInArrow(
-        _index(edits, near, 8 * parts), "bucket int, own boolean, keys binary, nodes binary, sketches binary"
+        _index(edits, per, 8 * parts), "bucket int, own boolean, keys binary, nodes binary, sketches binary"
     )
     pairs = staged(
         entries.repartition(parts, "bucket").mapInArrow(_pairs(edits), "a long, b long").distinct(), "line_pairs"
     )
     bits = spark.sparkContext.broadcast(sieve(pairs.select(F.explode(F.array("a", "b")).alias("short")), "short"))
-    lines = texts.mapInArrow(_texts(near, bits), "short long, node long, line string")
+    lines = texts.mapInArrow(_texts(per, bits), "short long, node long, line string")
     lines = staged(lines.dropDuplicates(["node"]), "line_texts")
     left = lines.select(F.col("short").alias("a_short"), F.col("node").alias("a"), "line")
     right = lines.select(F.col("short").alias("b_short"), F.col("node").alias("b"), F.col("line").alias("other_line"))
     shorts = pairs.select(F.col("a").alias("a_short"), F.col("b").alias("b_short"))
     both = shorts.join(left, "a_short").join(right, "b_short").select("a", "b", "line", "other_line")
-    return components(both.mapInArrow(_verified(edits), "a long, b long"), "line_links")
+    return components(both.mapInArrow(_verified(edits, per), "a long, b long"), "line_links")
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT) -> DataFrame:
     """(doc_id, text_key, removed): sorted line numbers to remove, for texts that lose any."""
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keyed = keyed.withColumn("text_key", F.xxhash64("text"))
     at = staged(keyed.mapInArrow(_occurrences, "node long, doc_id long, text_key long, line int"), "line_places")
     place = F.struct("doc_id", "text_key", "line")
     first = at.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    joined = first.join(line_classes(docs, edits, near), "node", "left").select(
+    joined = first.join(line_classes(docs, edits, per), "node", "left").select(
         "node", "first", "last", F.coalesce("root", "node").alias("root"), F.col("root").isNotNull().alias("linked")
     )
     keeper = joined.groupBy("root").agg(F.min("first").alias("keeper"))
@@ -360,7 +373,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS) -
     return out.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS, counts: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, edits: int = EDITS, per: int = CHARS_PER_EDIT, counts: bool = True) -> DataFrame:
     """`docs` with `text` less the lines that repeat an earlier one.
 
     With `counts`, `n_lines` and `n_removed` are added, in place of columns of those names.
@@ -369,7 +382,7 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, near: int = NEAR_CHARS, co
     so they keep the same lines; a null id comes before all others.  An empty table gives
     an empty result.
     """
-    gone = removed_lines(docs, edits, near).select(
+    gone = removed_lines(docs, edits, per).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("removed").alias("__removed")
     )
     text = docs["text"].cast("string")

@@ -109,6 +109,8 @@ def test_edit_automaton():
     for edits in (0, 1, 2, 3):
         want = [edit_distance(a, b) <= edits for a, b in zip(first, second)]
         assert within(first, second, edits).tolist() == want
+    each = [rng.randint(0, 3) for _ in first]
+    assert within(first, second, np.array(each)).tolist() == [edit_distance(a, b) <= e for a, b, e in zip(first, second, each)]
 
 
 def test_lines(spark):
@@ -136,6 +138,25 @@ def test_lines(spark):
         assert got[i].n_lines - got[i].n_removed == (0 if text is None else len(want[i].split("\n")) if got[i].n_removed < got[i].n_lines else 0)
 
 
+def test_short_lines(spark):
+    """Around the lengths at which one and two edits become possible, and at the old bound of 32."""
+    rng = random.Random(12)
+    rows = []
+    for size in (1, 2, 5, 10, 11, 12, 13, 14, 22, 23, 24, 25, 26, 30, 31, 32, 33, 34):
+        for edits in (1, 2, 3):
+            for _ in range(3):
+                line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=size - 1)) + "x"
+                other = list(line)
+                for _ in range(edits):
+                    at = rng.randrange(max(len(other), 1))
+                    other[at : at + rng.randint(0, 1)] = rng.choice(["Q", "", "Z"])
+                rows += [(len(rows), line), (len(rows) + 1, "".join(other))]
+    rows += [(1000, "The thertion."), (1001, "The, thertion."), (1002, "the cats"), (1003, "the cat")]
+    got = {r.doc_id: r.text for r in deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == kept_lines(rows)
+    assert got[1001] == "" and got[1003] == "the cat"
+
+
 def test_lines_of_repeated_rows(spark):
     rows = [(1, "same line\nother"), (1, "same line\nother"), (2, "same line")]
     got = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), counts=False)

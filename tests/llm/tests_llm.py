@@ -59,7 +59,7 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def kept_lines(rows, edits=2, near=32):
+def kept_lines(rows, edits=2, per=12):
     """{doc_id: text less repeated lines} of (doc_id, text) rows with distinct ids, by comparing all pairs."""
     places = [
         (i, n, line)
@@ -72,7 +72,8 @@ def kept_lines(rows, edits=2, near=32):
     union = Union()
     for i, a in enumerate(lines):
         for b in lines[:i]:
-            if min(len(a), len(b)) >= near and abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits:
+            most = min(edits, min(len(a), len(b)) // per)
+            if most and abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most:
                 union.join(a, b)
     seen, gone = set(), defaultdict(set)
     for i, n, line in places:
