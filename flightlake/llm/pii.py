@@ -1,19 +1,24 @@
 """Personal data: fixed patterns, and a character BiLSTM with a CRF that adds to them.
 
 The patterns give the base spans.  A bidirectional LSTM over characters with CRF transitions
-is trained in numpy on windows whose labels are base spans (at most TRAIN_WINDOWS of them,
-those with the smallest digests; the only bounded sample).  Whole texts are then read in
-overlapping windows; the spans decoded in all windows of a text compete for it, and those of
-the greatest total weight that do not overlap, neither each other nor a base span, are added.
-
-Every span has a digit or an `@` in it, by constraint of the decoder, so a window without
-either decodes to no span and is not computed.
+is trained in numpy on labelled windows: base spans as they stand, the same spans rewritten
+with other separators and words before them (`varied`), and windows without any.  A card
+number is one to learn from whatever its check digit, which no tagger can see.  At most
+TRAIN_WINDOWS windows and PLAIN_WINDOWS without a span are taken, those with the smallest
+digests; this is the only bounded sample.
+
+Every text is then read whole in overlapping windows.  Each position takes its tag from the
+window in which it lies most central, so a span of any length is read across windows.  The
+spans of a text that hold what their kind needs (`plausible`) compete, and those of the
+greatest total weight that overlap neither each other nor a base span are added.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
@@ -23,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-WIDTH, STRIDE, HIDDEN = 64, 32, 12
-TRAIN_WINDOWS = 2000
+WIDTH, STRIDE, HIDDEN = 256, 224, 12
+TRAIN_WIDTH, TRAIN_STRIDE = 64, 32
+TRAIN_WINDOWS, PLAIN_WINDOWS = 2000, 500
+_GROUP = 512
 _TAGS = 1 + 2 * len(KINDS)  # O, then begin and inside of each kind
 _PAD, _OTHER = 0, 1
 _SYMBOLS = "@.-+() _%:/=\"',;!?#&*$|\n"
@@ -36,7 +43,6 @@ for _i, _c in enumerate(_SYMBOLS):
 _CODE[48:58] = 2 + len(_SYMBOLS)
 _CODE[65:91] = 3 + len(_SYMBOLS)
 _CODE[97:123] = 4 + len(_SYMBOLS)
-_DIGIT, _AT = _CODE[48], _CODE[64]
 
 _HINT = re.compile("[0-9@]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -45,6 +51,18 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+_NUMBER = re.compile("[0-9]+")
+_BETWEEN = re.compile(r"(?<=[0-9])[^0-9]+(?=[0-9])")
+_BRACKETED_AT = re.compile(r"[(\[{<]\s*at\s*[)\]}>]", re.IGNORECASE)
+#: other ways to write a kind's separators, which the patterns do not know
+VARIANTS = {
+    0: ("(at)", " (at) ", " [at] ", " @ "),
+    1: (" . ", "(.)", "[.]"),
+    2: ("/", ".", "_", " - ", "  "),
+    3: ("/", " / ", "_", ":"),
+}
+LEADS = ("", "", "contact ", "number: ", "(see) ", "id=")
+
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -60,7 +78,7 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
-def base_spans(text: str) -> list[Span]:
+def base_spans(text: str, check_cards: bool = True) -> list[Span]:
     """Leftmost matches of every pattern that also pass its check, by kind and start."""
     out: list[Span] = []
     if not _HINT.search(text):
@@ -80,7 +98,7 @@ def base_spans(text: str) -> list[Span]:
             out.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
-        if 13 <= len(digits) <= 19 and luhn(digits):
+        if 13 <= len(digits) <= 19 and (luhn(digits) or not check_cards):
             out.append((2, m.start(), m.end()))
     for m in _PHONE.finditer(text):
         if 9 <= len(_digits(m[0])) <= 15:
@@ -94,20 +112,35 @@ def codes(text: str) -> np.ndarray:
     return np.where(points < 128, _CODE[np.minimum(points, 127)], np.uint8(_HIGH))
 
 
-def window_starts(code: np.ndarray) -> np.ndarray:
-    """Starts of the overlapping windows that have a digit or an `@`."""
-    hits = np.flatnonzero((code == _DIGIT) | (code == _AT))
-    first = np.unique(np.concatenate([hits // STRIDE, np.maximum(hits // STRIDE - 1, 0)])) * STRIDE
-    return first[first < len(code)]
-
-
-def cut(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    padded = np.concatenate([code, np.full(WIDTH, _PAD, np.uint8)])
-    return padded[starts[:, None] + np.arange(WIDTH)]
-
-
-def _sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-x))
+def varied(text: str, spans: Iterable[Span], seed: int) -> tuple[str, list[Span]]:
+    """The text with its spans written in other ways, and where they are then."""
+    rng = random.Random(seed)
+    out: list[str] = []
+    found: list[Span] = []
+    size = last = 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], s[0])):
+        if start < last:
+            continue
+        span, mark = text[start:end], rng.choice(VARIANTS[kind])
+        if kind == 0:
+            span = span.replace("@", mark)
+        elif kind == 2:
+            digits = _digits(span)
+            span = mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        else:
+            span = _BETWEEN.sub(mark, span)
+        before = text[last:start] + rng.choice(LEADS)
+        size += len(before)
+        found.append((kind, size, size + len(span)))
+        size += len(span)
+        out += [before, span]
+        last = end
+    return "".join(out) + text[last:], found
+
+
+def window_starts(length: int, width: int = WIDTH, stride: int = STRIDE) -> np.ndarray:
+    """Starts of the overlapping windows that cover a text."""
+    return np.arange(0, max(length - (width - stride), min(length, 1)), stride)
 
 
 class Tagger:
@@ -129,28 +162,35 @@ class Tagger:
         w["move"] = np.zeros((_TAGS, _TAGS), np.float32)
         return cls(w)
 
-    def _lstm(self, x: np.ndarray, side: str):
+    def _lstm(self, x: np.ndarray, side: str, keep: bool):
         """States by position of windows x (n, width); the backward side reads from the end."""
         n, width = x.shape
-        gates_x, wh, k = self.w[f"x{side}"], self.w[f"h{side}"], HIDDEN
-        h = np.zeros((n, k), np.float32)
-        c = np.zeros((n, k), np.float32)
-        out, kept = np.zeros((width, n, k), np.float32), []
+        k = HIDDEN
+        half = np.ones(4 * k, np.float32)  # sigmoid(a) = tanh(a / 2) / 2 + 1 / 2
+        half[: 3 * k] = 0.5
+        gates_x, wh = self.w[f"x{side}"] * half, self.w[f"h{side}"] * half
+        h = np.zeros((n, k), gates_x.dtype)
+        c = np.zeros((n, k), gates_x.dtype)
+        out, kept = np.zeros((width, n, k), gates_x.dtype), []
+        columns = np.ascontiguousarray(x.T)
         for t in range(width) if side == "f" else range(width - 1, -1, -1):
-            a = gates_x[x[:, t]] + h @ wh
-            gate = _sigmoid(a[:, : 3 * k])
-            g = np.tanh(a[:, 3 * k :])
+            a = gates_x.take(columns[t], axis=0)
+            a += h @ wh
+            np.tanh(a, out=a)
+            apart = np.ascontiguousarray(a.reshape(n, 4, k).transpose(1, 0, 2))
+            gate, g = apart[:3] * 0.5 + 0.5, apart[3]
             before = (h, c)
-            c = gate[:, k : 2 * k] * c + gate[:, :k] * g
+            c = gate[1] * c + gate[0] * g
             tc = np.tanh(c)
-            h = gate[:, 2 * k :] * tc
+            h = gate[2] * tc
             out[t] = h
-            kept.append((t, before, gate, g, tc))
+            if keep:
+                kept.append((t, before, gate, g, tc))
         return out, kept
 
-    def emissions(self, x: np.ndarray):
-        f, kf = self._lstm(x, "f")
-        b, kb = self._lstm(x, "b")
+    def emissions(self, x: np.ndarray, keep: bool = False):
+        f, kf = self._lstm(x, "f", keep)
+        b, kb = self._lstm(x, "b", keep)
         both = np.concatenate([f, b], axis=2)
         return both @ self.w["out"] + self.w["bias"], both, kf, kb
 
@@ -165,7 +205,7 @@ class Tagger:
     def gradients(self, x: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log likelihood of the tags and its gradients."""
         n, width = x.shape
-        e, both, kf, kb = self.emissions(x)
+        e, both, kf, kb = self.emissions(x, keep=True)
         move = self.transitions()
 
         def lse(a, axis):
@@ -203,7 +243,7 @@ class Tagger:
             dh_next, dc_next = np.zeros((n, k), np.float32), np.zeros((n, k), np.float32)
             for t, (h0, c0), gate, g, tc in reversed(kept):
                 dh = d_both[t][:, part] + dh_next
-                i, f, o = gate[:, :k], gate[:, k : 2 * k], gate[:, 2 * k :]
+                i, f, o = gate
                 dc = dh * o * (1 - tc * tc) + dc_next
                 da = np.concatenate([dc * g * i * (1 - i), dc * c0 * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
                 np.add.at(gx, x[:, t], da)
@@ -238,10 +278,31 @@ class Tagger:
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags of each window and, by position, how far they are above O.
 
-        A window may open inside a span that began before it.
+        A window may open inside a span that began before it.  The best score is found first,
+        and the way to it only for windows where O throughout does not reach it.
         """
         e = self.emissions(x)[0]
         move = self.transitions()
+        by_tag = np.ascontiguousarray(e.transpose(0, 2, 1))
+        score, new = by_tag[0].copy(), np.empty_like(by_tag[0])
+        plain = score[0].copy()
+        for t in range(1, len(by_tag)):
+            for tag in range(_TAGS):
+                if tag and tag % 2 == 0:  # inside: from its own kind only
+                    new[tag] = np.maximum(score[tag - 1] + move[tag - 1, tag], score[tag] + move[tag, tag])
+                else:
+                    new[tag] = (score + move[:, tag, None]).max(0)
+            new += by_tag[t]
+            score, new = new, score
+            plain = (plain + move[0, 0]) + by_tag[t, 0]
+        open_ = np.flatnonzero(score.max(0) > plain)
+        tags, gain = np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
+        if len(open_):
+            tags[open_], gain[open_] = self._best(e[:, open_], move)
+        return tags, gain
+
+    def _best(self, e: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Viterbi over the emissions of windows."""
         width, n, _ = e.shape
         score, back = e[0].copy(), np.zeros((width, n, _TAGS), np.int8)
         for t in range(1, width):
@@ -259,27 +320,55 @@ class Tagger:
 
 
 def plausible(kind: int, text: str) -> bool:
-    """What any span of the kind must have; the model's spans are held to it."""
+    """What any span of the kind must have, however it is written; the model's spans are held to it."""
     n = len(_digits(text))
     if kind == 0:
-        return "@" in text[1:-1]
-    return n >= 4 and text.count(".") >= 3 if kind == 1 else 13 <= n <= 19 and luhn(_digits(text)) if kind == 2 else 9 <= n <= 15
-
-
-def window_spans(starts, tags, margin, length: int) -> list[tuple[float, Span]]:
-    """Spans of one text's windows with weights; those cut off by a window's edge are left to its neighbours."""
-    out = {}
-    for start, row, gain in zip(starts.tolist(), tags, margin):
-        t = 0
-        for t in np.flatnonzero(row % 2 == 1).tolist():
-            end = t + 1
-            while end < WIDTH and row[end] == row[t] + 1:
-                end += 1
-            if (t == 0 and start > 0) or (end == WIDTH and start + WIDTH < length):
-                continue
-            span = ((int(row[t]) - 1) // 2, start + t, min(start + end, length))
-            out[span] = max(out.get(span, 0.0), float(gain[t:end].sum()))
-    return [(w, s) for s, w in out.items() if w > 0]
+        return "@" in text[1:-1] or _BRACKETED_AT.search(text, 1) is not None
+    if kind == 1:
+        parts = [p.lstrip("0") or "0" for p in _NUMBER.findall(text)]
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 13 <= n <= 19 and luhn(_digits(text)) if kind == 2 else 9 <= n <= 15
+
+
+def tagged_spans(tagger: Tagger, code: list[np.ndarray]) -> list[list[tuple[float, Span]]]:
+    """Spans with weights of each text, read whole; `code` holds the texts' classes."""
+    length = np.array([len(c) for c in code], np.int64)
+    place = np.cumsum(length + WIDTH) - (length + WIDTH)
+    padded = np.full(int((length + WIDTH).sum()), _PAD, np.uint8)
+    starts, low, high = [], [], []
+    margin = (WIDTH - STRIDE) // 2
+    for c, at in zip(code, place.tolist()):
+        padded[at : at + len(c)] = c
+        s = window_starts(len(c))
+        first, last = s + margin, s + STRIDE + margin
+        first[:1], last[-1:] = 0, len(c)
+        starts.append(s + at)
+        low.append(first + at)
+        high.append(last + at)
+    begin, low, high = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (starts, low, high))
+    where, tag, gain = [], [], []
+    for at in range(0, len(begin), _GROUP):
+        part = slice(at, at + _GROUP)
+        tags, gains = tagger.decode(padded[begin[part, None] + np.arange(WIDTH)])
+        row, column = np.nonzero(tags)
+        position = begin[part][row] + column
+        mine = (position >= low[part][row]) & (position < high[part][row])
+        where += position[mine].tolist()
+        tag += tags[row[mine], column[mine]].tolist()
+        gain += gains[row[mine], column[mine]].tolist()
+    out: list[list[tuple[float, Span]]] = [[] for _ in code]
+    at = 0
+    while at < len(where):
+        end, weight = at + 1, gain[at]
+        while end < len(where) and where[end] == where[end - 1] + 1 and tag[end] % 2 == 0 and (tag[end] - 1) // 2 == (tag[at] - 1) // 2:
+            weight += gain[end]
+            end += 1
+        if weight > 0:
+            i = int(np.searchsorted(place, where[at], "right")) - 1
+            first = where[at] - int(place[i])
+            out[i].append((weight, ((tag[at] - 1) // 2, first, first + end - at)))
+        at = end
+    return out
 
 
 def reconcile(candidates: list[tuple[float, Span]], taken: list[Span]) -> list[Span]:
@@ -303,33 +392,49 @@ def written(spans: Iterable[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
+def labelled_windows(text: str, spans: Iterable[Span]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and tags of every window to learn from; the first of overlapping spans counts."""
+    code = np.concatenate([codes(text), np.full(TRAIN_WIDTH, _PAD, np.uint8)])
+    tags = np.zeros(len(code), np.uint8)
+    for kind, start, end in spans:
+        if not tags[start:end].any():
+            tags[start:end] = 2 + 2 * kind
+            tags[start] = 1 + 2 * kind
+    for s in window_starts(len(text), TRAIN_WIDTH, TRAIN_STRIDE).tolist():
+        yield code[s : s + TRAIN_WIDTH], tags[s : s + TRAIN_WIDTH]
+
+
 def _training(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of texts with their tags, as bytes."""
+    """Windows with their tags, as bytes: those with a digit, an `@` or a span, and one of each text without them."""
     for batch in batches:
         out = []
         for text in batch.column("text").to_pylist():
-            if not text or not _HINT.search(text):
+            if not text:
+                continue
+            seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+            if not _HINT.search(text):
+                starts = window_starts(len(text), TRAIN_WIDTH, TRAIN_STRIDE)
+                at = int(starts[seed % len(starts)])
+                x, y = next(labelled_windows(text[at : at + TRAIN_WIDTH], []))
+                out.append((True, x.tobytes(), y.tobytes()))
                 continue
-            code = codes(text)
-            tags = np.zeros(len(code) + WIDTH, np.uint8)
-            for kind, start, end in base_spans(text):
-                if not tags[start:end].any():
-                    tags[start:end] = 2 + 2 * kind
-                    tags[start] = 1 + 2 * kind
-            starts = window_starts(code)
-            for x, s in zip(cut(code, starts), starts.tolist()):
-                out.append((x.tobytes(), tags[s : s + WIDTH].tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)], names=["x", "y"]
-        )
-
-
-def fit_tagger(docs: DataFrame, windows: int = TRAIN_WINDOWS) -> Tagger | None:
-    """Tagger of base spans; None where no text has any."""
-    texts = docs.select(F.col("text").cast("string"))
-    found = texts.mapInArrow(_training, "x binary, y binary").distinct()
+            base = base_spans(text, check_cards=False)
+            both = [(text, base), varied(text, base, seed)] if base else [(text, base)]
+            for form, spans in both:
+                for i, (x, y) in enumerate(labelled_windows(form, spans)):
+                    if y.any() or _HINT.search(form, i * TRAIN_STRIDE, i * TRAIN_STRIDE + TRAIN_WIDTH):
+                        out.append((False, x.tobytes(), y.tobytes()))
+        kinds = (pa.bool_(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=["plain", "x", "y"])
+
+
+def fit_tagger(docs: DataFrame, windows: int = TRAIN_WINDOWS, plain: int = PLAIN_WINDOWS) -> Tagger | None:
+    """Tagger of base spans and their variants; None where no text has any."""
+    found = docs.select(F.col("text").cast("string")).mapInArrow(_training, "plain boolean, x binary, y binary")
     digest = F.md5(F.concat("x", "y"))
-    rows = found.orderBy(digest, "x", "y").limit(windows).collect()
+    rows = []
+    for kind, most in ((F.col("plain"), plain), (~F.col("plain"), windows)):
+        rows += found.filter(kind).select("x", "y").distinct().orderBy(digest, "x", "y").limit(most).collect()
     if not any(any(r.y) for r in rows):
         return None
     x = np.array([np.frombuffer(r.x, np.uint8) for r in rows])
@@ -356,17 +461,9 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
             base = [base_spans(t) for t in texts]
             added: list[list[Span]] = [[] for _ in texts]
             if model is not None:
-                work = [(i, c := codes(t), window_starts(c)) for i, t in enumerate(texts) if _HINT.search(t)]
-                for some in _groups(work):
-                    x = np.concatenate([cut(c, s) for _, c, s in some])
-                    tags, margin = model.decode(x)
-                    at = 0
-                    for i, code, starts in some:
-                        part = slice(at, at + len(starts))
-                        at += len(starts)
-                        spans = window_spans(starts, tags[part], margin[part], len(code))
-                        spans = [(w, s) for w, s in spans if plausible(s[0], texts[i][s[1] : s[2]])]
-                        added[i] = reconcile(spans, base[i])
+                for i, spans in enumerate(tagged_spans(model, [codes(t) for t in texts])):
+                    able = [(w, s) for w, s in spans if plausible(s[0], texts[i][s[1] : s[2]])]
+                    added[i] = reconcile(able, base[i])
             every = [sorted(b + a) for b, a in zip(base, added)]
             counts = [pa.array([sum(s[0] == k for s in spans) for spans in every], pa.int64()) for k in range(len(KINDS))]
             digest = [hashlib.sha256(written(b).encode()).hexdigest() for b in base]
@@ -377,16 +474,3 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
     return texts.mapInArrow(run, schema)
-
-
-def _groups(work: list, windows: int = 4096) -> Iterator[list]:
-    """Texts in groups of about so many windows; a longer text is a group of its own."""
-    held, count = [], 0
-    for item in work:
-        if held and count + len(item[2]) > windows:
-            yield held
-            held, count = [], 0
-        held.append(item)
-        count += len(item[2])
-    if held:
-        yield held

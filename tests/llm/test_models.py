@@ -87,20 +87,78 @@ def test_reconcile_is_the_best_choice():
         assert sum(weight[s] for s in got) == pytest.approx(best)
 
 
-def test_tagger_learns_the_spans(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("text RLIKE '[0-9@]'")
-    tagger = pii.fit_tagger(docs.filter("doc_id % 2 = 0"))
-    found = missed = wrong = 0
-    for row in docs.filter("doc_id % 2 = 1").collect():  # held out
-        code = pii.codes(row.text)
-        starts = pii.window_starts(code)
-        if not len(starts):
-            continue
-        tags, margin = tagger.decode(pii.cut(code, starts))
-        mine = set(pii.reconcile(pii.window_spans(starts, tags, margin, len(code)), []))
-        base = set(pii.base_spans(row.text))
-        found, missed, wrong = found + len(mine & base), missed + len(base - mine), wrong + len(mine - base)
-    assert found / (found + missed) > 0.8 and found / (found + wrong) > 0.6
+@pytest.fixture(scope="module")
+def tagger(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return pii.fit_tagger(docs.filter("doc_id % 2 = 0"))
+
+
+def test_tagger_learns_the_spans(spark, tagger):
+    """Base spans and rewritten ones of texts that it has not seen."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 1 AND text RLIKE '[0-9@]'")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    for form in (lambda t: (t, pii.base_spans(t)), lambda t: pii.varied(t, pii.base_spans(t), len(t))):
+        found = missed = wrong = 0
+        pairs = [form(t) for t in texts]
+        for (text, want), spans in zip(pairs, pii.tagged_spans(tagger, [pii.codes(t) for t, _ in pairs])):
+            mine = {s for s in pii.reconcile(spans, []) if pii.plausible(s[0], text[s[1] : s[2]])}
+            found, missed, wrong = found + len(mine & set(want)), missed + len(set(want) - mine), wrong + len(mine - set(want))
+        print(found, missed, wrong)
+        assert found / (found + missed) >= 0.9 and found / (found + wrong) >= 0.9
+
+
+def test_tags_are_stitched():
+    """Every position has one window; spans go on across windows, whatever their length."""
+
+    class Fixed:
+        def decode(self, x):
+            digit = x == pii._CODE[48]
+            tags = np.where(digit, 6, 0)
+            tags[:, 1:][digit[:, 1:] & ~digit[:, :-1]] = 5
+            return tags, np.where(digit, 1.0, 0.0)
+
+    rng = random.Random(4)
+    for _ in range(40):
+        texts, want = [], []
+        for _ in range(rng.randint(1, 6)):
+            text, spans = "a" * rng.randint(0, 200), []
+            for _ in range(rng.randint(0, 4)):
+                size = rng.choice([1, 15, 33, 64, 255, 256, 257, 700])
+                spans.append((float(size), (2, len(text), len(text) + size)))
+                text += "1" * size + "b" * rng.randint(1, 150)
+            texts.append(text)
+            want.append(spans)
+        assert pii.tagged_spans(Fixed(), [pii.codes(t) for t in texts]) == want
+    for size in (0, 1, 31, 32, 33, 255, 256, 257, 1000):
+        starts = pii.window_starts(size)
+        assert len(starts) == 0 if size == 0 else starts[0] == 0 and starts[-1] + pii.WIDTH >= size
+
+
+def test_decode_is_viterbi(tagger):
+    """The early way out changes nothing."""
+    text = "mail a.b@c.de or +1 (293) 555-9179, 4111 1111 1111 1111 at 10.0.0.7 " * 3 + "only words here and there " * 20
+    code = pii.codes(text)
+    x = np.array([code[s : s + pii.WIDTH] for s in range(0, len(code) - pii.WIDTH, 16)])
+    tags, gain = tagger.decode(x)
+    all_tags, all_gain = tagger._best(tagger.emissions(x)[0], tagger.transitions())
+    assert (tags == all_tags).all() and (~tags.any(axis=1)).any()
+    assert np.allclose(gain[tags > 0], all_gain[tags > 0])
+
+
+def test_personal_data_with_a_tagger(spark, tagger):
+    """Null, empty, very long and repeated texts, clashing columns, and spans that no pattern knows."""
+    texts = [None, "", "und card 4111/1111/1111/1111 ere", "here 10 . 0 . 0 . 7 and", "the john.smith (at) corp.org thea", "no digits " * 9000,
+             "x" * 100_000 + " a.b@c.de " + "y" * 100_000, "ip 1.2.3.4, +1 (293) 555-9179"]
+    df = spark.createDataFrame([(i, t, "s", 1) for i, t in enumerate(texts)] + [(2, texts[2], "s", 1)], "doc_id long, text string, spans string, n_ip int")
+    got = pii.find_personal_data(df, tagger).collect()
+    assert len(got) == 9
+    for r in got:
+        base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans_by_pattern(texts[r.doc_id] or ""))
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+    by_id = {r.doc_id: r for r in got}
+    assert [by_id[i].n_added for i in (0, 1, 5, 6, 7)] == [0] * 5
+    assert (by_id[2].n_card, by_id[3].n_ip, by_id[4].n_email) == (1, 1, 1)
 
 
 def test_personal_data_rows(spark):
