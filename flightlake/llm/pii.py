@@ -275,30 +275,76 @@ class Tagger:
                 self.w[name] = (self.w[name] - now * step_size).astype(np.float32)
         return losses
 
+    def _scores(self, x: np.ndarray) -> np.ndarray:
+        """The emissions of windows as (width, tag, window), without what only training needs.
+
+        Windows lie along the last axis, so gates are whole rows; the states kept here are
+        twice those of `_lstm`, and the weights that read them are halved.
+        """
+        n, width = x.shape
+        k, kind = HIDDEN, self.w["xf"].dtype
+        columns = np.ascontiguousarray(x.T)
+        half = np.ones(4 * k, kind)
+        half[: 3 * k] = 0.5
+        e, more = np.empty((width, _TAGS, n), kind), np.empty((_TAGS, n), kind)
+        gates = np.empty((4 * k, n), kind)
+        i, f, o, g = gates.reshape(4, k, n)
+        for side, at in (("f", 0), ("b", k)):
+            wx, wh = self.w[f"x{side}"] * half, np.ascontiguousarray((self.w[f"h{side}"] * half).T) / 2
+            out = np.ascontiguousarray(self.w["out"][at : at + k].T) / 2
+            h, c, tc = (np.zeros((k, n), kind) for _ in range(3))
+            for t in range(width) if side == "f" else range(width - 1, -1, -1):
+                np.matmul(wh, h, out=gates)
+                gates += wx.take(columns[t], axis=0).T
+                np.tanh(gates, out=gates)
+                gates[: 3 * k] += 1
+                c *= f
+                g *= i
+                c += g
+                c *= 0.5
+                np.tanh(c, out=tc)
+                np.multiply(o, tc, out=h)
+                if side == "f":
+                    np.matmul(out, h, out=e[t])
+                else:
+                    e[t] += np.matmul(out, h, out=more)
+        e += self.w["bias"][:, None]
+        return e
+
+    def _open(self, e: np.ndarray, slack: float = 0.05) -> np.ndarray:
+        """Windows whose best tags may be other than O throughout; none of them is missed.
+
+        Scores are differences from O throughout.  A run of tags starts from O, or from the
+        best tag before it by the best move of any; a window is open when some run, left again
+        or at the window's end, is not below zero by more than rounding.
+        """
+        move = self.transitions()
+        move -= move[0, 0]
+        begin, inside = np.arange(1, _TAGS, 2), np.arange(2, _TAGS, 2)
+        enter, across = move[0, begin, None], move[1:, begin].max(0)[:, None]
+        on, stay, leave = move[begin, inside, None], move[inside, inside, None], move[1:, 0].max()
+        run = e[0, 1:] - e[0, 0]
+        top = np.full(e.shape[2], -np.inf, e.dtype)
+        for now in e[1:]:
+            best = run.max(0)
+            np.maximum(top, best + leave, out=top)
+            after = now[1:] - now[0]
+            after[1::2] += np.maximum(run[::2] + on, run[1::2] + stay)
+            after[::2] += np.maximum(best + across, enter)
+            run = after
+        return np.flatnonzero(np.maximum(top, run.max(0)) > -slack)
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags of each window and, by position, how far they are above O.
 
-        A window may open inside a span that began before it.  The best score is found first,
-        and the way to it only for windows where O throughout does not reach it.
+        A window may open inside a span that began before it.  The way to the best score is
+        looked for only in windows that a bound leaves open; in the others it is O throughout.
         """
-        e = self.emissions(x)[0]
-        move = self.transitions()
-        by_tag = np.ascontiguousarray(e.transpose(0, 2, 1))
-        score, new = by_tag[0].copy(), np.empty_like(by_tag[0])
-        plain = score[0].copy()
-        for t in range(1, len(by_tag)):
-            for tag in range(_TAGS):
-                if tag and tag % 2 == 0:  # inside: from its own kind only
-                    new[tag] = np.maximum(score[tag - 1] + move[tag - 1, tag], score[tag] + move[tag, tag])
-                else:
-                    new[tag] = (score + move[:, tag, None]).max(0)
-            new += by_tag[t]
-            score, new = new, score
-            plain = (plain + move[0, 0]) + by_tag[t, 0]
-        open_ = np.flatnonzero(score.max(0) > plain)
+        e = self._scores(x)
+        open_ = self._open(e)
         tags, gain = np.zeros(x.shape, np.int8), np.zeros(x.shape, np.float32)
         if len(open_):
-            tags[open_], gain[open_] = self._best(e[:, open_], move)
+            tags[open_], gain[open_] = self._best(np.ascontiguousarray(e[:, :, open_].transpose(0, 2, 1)), self.transitions())
         return tags, gain
 
     def _best(self, e: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -145,6 +145,24 @@ def test_decode_is_viterbi(tagger):
     assert np.allclose(gain[tags > 0], all_gain[tags > 0])
 
 
+def test_open_windows_miss_no_way():
+    """Scores are the emissions, and the bound leaves open every window whose best tags are not O alone."""
+    rng = np.random.default_rng(5)
+    opened = shut = 0
+    for seed in range(30):
+        tagger = pii.Tagger.fresh(seed)
+        tagger.w["move"] = rng.normal(0, 2, tagger.w["move"].shape).astype(np.float32)
+        tagger.w["bias"][0] += rng.uniform(0, 3)
+        x = rng.integers(0, pii._CODES, (40, 12)).astype(np.uint8)
+        e, scores = tagger.emissions(x)[0], tagger._scores(x)
+        assert np.allclose(scores.transpose(0, 2, 1), e, atol=1e-4)
+        other = np.flatnonzero(tagger._best(e, tagger.transitions())[0].any(axis=1))
+        found = tagger._open(scores)
+        assert set(other) <= set(found)
+        opened, shut = opened + len(found), shut + len(x) - len(found)
+    assert opened and shut
+
+
 def test_personal_data_with_a_tagger(spark, tagger):
     """Null, empty, very long and repeated texts, clashing columns, and spans that no pattern knows."""
     texts = [None, "", "und card 4111/1111/1111/1111 ere", "here 10 . 0 . 0 . 7 and", "the john.smith (at) corp.org thea", "no digits " * 9000,
