@@ -15,7 +15,7 @@ from flightlake.llm.pieces import encode_documents
 from flightlake.llm.pii import find_personal_data, fit_tagger
 from flightlake.llm.prefix_trie import prefix_nodes
 from flightlake.llm.quality import quality_table
-from flightlake.llm.sql import EXACT_DEDUP, PREFIX_TRIE, TURN_REPAIR
+from flightlake.llm.sql import EMBEDDING_LINKS, EXACT_DEDUP, NGRAM_JOIN, PREFIX_TRIE, SUBSTRING_DEDUP, TURN_REPAIR
 from flightlake.llm.substring_dedup import remove_repeats
 from flightlake.llm.turn_repair import repair_report
 from flightlake.llm.url_filter import LISTED_LABELS, filter_urls
@@ -104,6 +104,9 @@ QUERIES = {
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {
+    "op7_ngram_jaccard_join": NGRAM_JOIN,
+    "op9_embedding_pivots": EMBEDDING_LINKS,
+    "op10_substring_dedup": SUBSTRING_DEDUP,
     "op11_prefix_trie": PREFIX_TRIE,
     "op12_turn_repair": TURN_REPAIR,
     "op13_exact_dedup": EXACT_DEDUP,

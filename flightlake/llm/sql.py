@@ -154,3 +154,80 @@ WITH normal AS (
 )
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM normal WINDOW w AS (PARTITION BY t)"""
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(array_to_string(w, ' '))]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))) END AS s
+  FROM words
+), nodes AS (
+  SELECT s, len(s) AS n, min(doc_id) AS node FROM sets WHERE len(s) > 0 GROUP BY s
+), items AS (
+  SELECT node, n, unnest(s) AS item FROM nodes
+), ranked AS (
+  SELECT node, n, item, row_number() OVER (PARTITION BY node ORDER BY f, item) AS place
+  FROM items JOIN (SELECT item, count(*) AS f FROM items GROUP BY item) USING (item)
+), heads AS (  -- a linked pair shares one of its rarest shingles
+  SELECT node, n, item FROM ranked WHERE place <= n - ceil(0.8 * n) + 1
+), near AS (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM heads a JOIN heads b ON a.item = b.item AND a.node < b.node
+  AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), linked AS (
+  SELECT a, b FROM (
+    SELECT near.a, near.b, x.n AS na, y.n AS nb, len(list_intersect(x.s, y.s)) AS c
+    FROM near JOIN nodes x ON x.node = near.a JOIN nodes y ON y.node = near.b)
+  WHERE 100 * c >= 80 * (na + nb - c)
+), edges AS (
+  SELECT a, b FROM linked UNION SELECT b, a FROM linked
+), reach AS (
+  SELECT node, node AS root FROM nodes
+  UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node WHERE r.root < e.b
+), roots AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM sets d LEFT JOIN nodes n ON n.s = d.s LEFT JOIN roots r ON r.node = n.node"""
+
+EMBEDDING_LINKS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), able AS (
+  SELECT vec_id, label, v FROM vectors
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(v, lambda x: abs(x))) > 0
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), edges AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM vectors
+  UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node WHERE r.root < e.b
+), roots AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT v.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, r.root::BIGINT AS component_id, v.vec_id = r.root AS kept
+FROM vectors v JOIN roots r ON r.node = v.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM edges GROUP BY a) l ON l.a = v.vec_id"""
+
+SUBSTRING_DEDUP = f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)
+), repeated AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT h, min(doc_id) AS first FROM windows GROUP BY h) USING (h) WHERE doc_id > first
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM repeated
+), each AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k USING (doc_id)"""
