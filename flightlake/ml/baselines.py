@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.functions.metrics import median
+from flightlake.operators.ranks import grouped_medians, weighted_quantiles
 from flightlake.ml.features import TARGET_FLAG, TARGET_MINUTES
 from flightlake.session import staged
 
@@ -26,7 +26,7 @@ def fit_baselines(train: DataFrame) -> Baselines:
 
     Rows collapse to (route, carrier, minutes) -> count before anything is
     grouped, so a route or carrier with a third of all rows costs as much as
-    any other; delays are whole minutes, so the histogram stays small.
+    any other.  Medians are picked by rank, so no group's minutes are held in memory.
     """
     histogram = staged(
         train.groupBy("route_code", "reporting_airline_code", TARGET_MINUTES).agg(
@@ -34,14 +34,14 @@ def fit_baselines(train: DataFrame) -> Baselines:
         ),
         "delay_histogram",
     )
-    middle = median(F.col(TARGET_MINUTES), F.col("rows"))
     keys = ["route_code", "reporting_airline_code"]
-    pairs = staged(histogram.groupBy(*keys).agg(middle.alias("pair_median")), "pair_medians")
+    pairs = staged(grouped_medians(histogram, keys, TARGET_MINUTES, "rows", "pair_median", "pair_minutes"), "pair_medians")
     carriers = staged(
-        histogram.groupBy(keys[1]).agg(middle.alias("carrier_median")), "carrier_medians"
+        grouped_medians(histogram, keys[1:], TARGET_MINUTES, "rows", "carrier_median", "carrier_minutes"), "carrier_medians"
     )
+    overall = weighted_quantiles(histogram, TARGET_MINUTES, "rows", {"global_median": 0.5}, "all_minutes")
     summary = histogram.agg(
-        middle.alias("global_median"),
+        overall.scalar().alias("global_median"),
         (F.sum("late") / F.sum("rows").cast("double")).alias("global_delay_rate"),
     )
     row = summary.first()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.session import staged
@@ -15,24 +15,37 @@ def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def row_digest(df: DataFrame) -> dict[str, Column]:
+    """Two 64-bit hashes of a whole row by name; rows that are equal, nulls included, have equal ones."""
+    # a hash passes over nulls, so where they are is hashed too
+    nulls = [F.col(c).isNull() for c in df.columns]
+    cells = [F.col(c) for c in df.columns]
+    return {f"_digest{i}": F.xxhash64(F.lit(i), *cells, *nulls) for i in (1, 2)}
+
+
+def _matching(df: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key, nulls included, is among those found."""
+    renamed = found.select(*[F.col(k).alias(f"_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    return df.join(renamed, same, "left_semi")
+
+
 def duplicate_counts(df: DataFrame, key: list[str]) -> DataFrame:
     """One row: exact_duplicates (n-1 per group), duplicate_key_rows (all n), repeated_keys.
 
-    Rows that are equal everywhere are equal on the key, so only rows with a
-    repeated key are compared in full.  The repeated keys are written first: with
-    a known file size they are broadcast while there are few, so the wide rows
-    are filtered in place and only the remaining candidates are shuffled.  Both
-    aggregates combine before their shuffle, so a group of copies with a third
-    of all rows arrives as one row per task.
+    Rows that are equal everywhere are equal on the key and in their digest.  The repeated
+    keys are written first; their rows are counted by digest, 16 bytes each, and only rows
+    whose digest repeats are shuffled whole and compared in full, so a digest that different
+    rows share costs a comparison and never a wrong count.  Both small tables have a known
+    file size, so they are broadcast while they are small.  All aggregates combine before
+    their shuffle, so a group of copies with a third of all rows arrives as one row per task.
     """
     repeated = staged(repeated_keys(df, key), "repeated_keys")
-    renamed = repeated.select(*[F.col(k).alias(f"_{k}") for k in key])
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
-    )
-    candidates = df.join(renamed, same_key, "left_semi")
+    digests = row_digest(df)
+    marked = df.withColumns(digests)
+    suspects = staged(repeated_keys(_matching(marked, repeated, key), list(digests)).drop("rows"), "repeated_digests")
     exact = (
-        candidates.groupBy(*df.columns)
+        _matching(marked, suspects, list(digests)).groupBy(*df.columns)
         .agg(F.count(F.lit(1)).alias("rows"))
         .agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("exact_duplicates"))
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.session import staged
@@ -41,9 +43,12 @@ def exact_quantiles(df: DataFrame, value: str, shares: dict[str, float], name: s
     fine for whole minutes but not for model errors.  Here the value/count
     histogram stays distributed and each quantile picks the rows at its rank.
     """
-    histogram = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    return weighted_quantiles(df.withColumn("_one", F.lit(1)), value, "_one", shares, name)
+
+
+def weighted_quantiles(df: DataFrame, value: str, weight: str, shares: dict[str, float], name: str) -> DataFrame:
+    """`exact_quantiles` where a row stands for `weight` rows."""
+    histogram = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.sum(weight).alias("rows"))
     ranked = running_totals(histogram, value, ["rows"], name)
     total = ranked.agg(F.sum("rows")).first()[0] or 0
     picks, results = [], []
@@ -59,6 +64,38 @@ def exact_quantiles(df: DataFrame, value: str, shares: dict[str, float], name: s
     return ranked.agg(*picks).select(*results)
 
 
+def grouped_medians(histogram: DataFrame, keys: list[str], value: str, weight: str, result: str, name: str) -> DataFrame:
+    """(keys, result): the interpolated median of each group of a (keys, value, weight) histogram.
+
+    Exact for any number of distinct values, with no buffer of a group's values.  The histogram
+    is range-partitioned by keys and value, so a hot group lies over many tasks, and written with
+    its partition number.  A piece is a group's part in one partition; the rows of the pieces say
+    which of them hold a middle rank, and only those are ranked.  Null values are left out, null
+    keys are a group; a group without values has no row.
+    """
+    part, rows = "_part", F.col("_rows")
+    counted = histogram.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("_rows"))
+    saved = staged(counted.repartitionByRange(*keys, value).withColumn(part, F.spark_partition_id()), name)
+    group = Window.partitionBy(*keys)
+    ahead = group.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = saved.groupBy(*keys, part).agg(F.sum(rows).alias("_piece")).withColumns(
+        {"_before": F.coalesce(F.sum("_piece").over(ahead), F.lit(0)), "_total": F.sum("_piece").over(group)}
+    )
+    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
+
+    def holds(rank: Column, before: Column, size: Column) -> Column:
+        return (before <= rank) & (rank < before + size)
+
+    middle = pieces.filter(reduce(lambda a, b: a | b, [holds(r, F.col("_before"), F.col("_piece")) for r in (low, high)]))
+    named = staged(middle.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(part).alias("_in"), "_before", "_total"), f"{name}_pieces")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col(part) == F.col("_in"))
+    inside = Window.partitionBy(*keys, part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("_before") + F.coalesce(F.sum(rows).over(inside), F.lit(0))
+    ranked = saved.join(named, same).withColumn("_place", place)
+    at = [F.max(F.when(holds(r, F.col("_place"), rows), F.col(value).cast("double"))) for r in (low, high)]
+    return ranked.groupBy(*keys).agg(((at[0] + at[1]) / 2).alias(result))
+
+
 def dense_keys(table: DataFrame, row_id: str, key: str, after: int = 0) -> tuple[DataFrame, int]:
     """Rows of a table written in order, with a dense `key` from after + 1, and how many they are.
 

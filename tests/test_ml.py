@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from flightlake.catalog import Workspace
 from flightlake.contracts import FEATURE_COLUMNS
 from flightlake.ml import baselines, boosting, evaluate, features, models, score
-from flightlake.operators.ranks import exact_quantiles, running_totals
+from flightlake.operators.ranks import exact_quantiles, grouped_medians, running_totals
 from flightlake.sources import files
 
 SCHEMA = """flight_date date, reporting_airline_id int, reporting_airline_code string,
@@ -133,6 +133,21 @@ def test_running_totals_and_quantiles_are_exact(spark):
         total += row["n"]
 
 
+def test_grouped_medians_of_fractions(spark):
+    """A hot group over many partitions, even and odd sizes, ties, null keys and values, no rows."""
+    rng = random.Random(8)
+    groups = {("hot", 1): 400, ("even", 2): 6, ("odd", None): 7, (None, 3): 1, ("tie", 4): 10}
+    rows = [(a, b, round(rng.choice([rng.gauss(0, 9), 2.25]), 3), rng.randint(1, 4)) for (a, b), n in groups.items() for _ in range(n)]
+    df = spark.createDataFrame(rows + [("none", 5, None, 2), ("tie", 4, None, 9)], "a string, b int, v double, w long")
+    found = {(r.a, r.b): r.m for r in grouped_medians(df, ["a", "b"], "v", "w", "m", "t").collect()}
+    expected = {}
+    for a, b, v, w in rows:
+        expected.setdefault((a, b), []).extend([v] * w)
+    assert found.keys() == expected.keys()
+    assert all(found[k] == pytest.approx(np.median(v)) for k, v in expected.items())
+    assert grouped_medians(df.limit(0), ["a"], "v", "w", "m", "t").count() == 0
+
+
 def test_auc_counts_ties_half(spark):
     rng = random.Random(9)
     pairs = [(rng.randint(0, 1), rng.randint(0, 9) / 10) for _ in range(200)]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from flightlake.operators import duplicates
 from flightlake.operators.clean import clean_flights
 from flightlake.operators.duplicates import duplicate_counts
 from flightlake.quality import profile
@@ -73,6 +75,16 @@ def test_duplicate_counts_against_brute_force(spark):
     ]
 
 
+def test_rows_that_share_a_digest_are_compared(spark, monkeypatch):
+    """Nulls in other places, -0.0 and NaN; a digest that all rows share changes no count."""
+    nan = float("nan")
+    rows = [(1, None, "x", 0.0), (1, "x", None, -0.0), (1, None, "x", -0.0), (2, "y", "y", nan), (2, "y", "y", nan), (3, "z", "z", None)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, v double")
+    assert list(duplicate_counts(df, ["k"]).first()) == [2, 5, 2]
+    monkeypatch.setattr(duplicates, "row_digest", lambda df: {"_digest1": F.lit(1), "_digest2": F.lit(2)})
+    assert list(duplicate_counts(df, ["k"]).first()) == [2, 5, 2]
+
+
 def test_profile_types_follow_the_values(spark):
     df = spark.createDataFrame(
         [("1", "1", "1.5", "x", None), ("2", None, "2", "3", None)], "a string, b string, c string, d string, e string"
