@@ -7,7 +7,9 @@ Walking the levels then answers membership exactly for every host of the univers
 
 A level is cut into shards by the host's hash, each an array of at most SHARD_BITS bits
 by construction, so that no filter grows with the list: a longer list has more shards.
-Only filters meet the pages (by shard number), never the list itself.
+Levels of at most LITERAL_BITS bits in all are constants of the expression that judges a
+page, so pages are neither joined nor shuffled.  Filters of a longer list are looked up by
+shard number: their table comes from files, so Spark broadcasts it only below its threshold.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ RULES = (
 #: a host is listed when one of its labels is among these
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 SHARD_BITS = 1 << 16
+#: all levels together, as constants of a plan: 20 KB, the filters of some 10,000 hosts
+LITERAL_BITS = 1 << 17
 BITS_PER_KEY = 10
 HASHES = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,12 +67,13 @@ def _slot(level: int, i: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(F.col("host"), F.lit(level), F.lit(i)), F.lit(bits))
 
 
-def _in_filter(level: int, bits: int) -> Column:
-    """All bits of the host set in the shard's words; false where the shard has no key."""
-    words = F.col(f"level{level}")
+def _in_filter(level: int, bits: int, words: Column | None = None, first: Column | None = None) -> Column:
+    """All bits of the host set in the words of its shard, which begin at `first`; false where the shard has no key."""
+    words = F.col(f"level{level}") if words is None else words
 
     def is_set(slot: Column) -> Column:
-        word = F.get(words, F.shiftright(slot, 6).cast("int"))
+        at = F.shiftright(slot, 6).cast("int")
+        word = F.get(words, at if first is None else first + at)
         return F.call_function("getbit", word, F.pmod(slot, F.lit(64)).cast("int")) == 1
 
     return F.coalesce(reduce(lambda a, b: a & b, [is_set(_slot(level, i, bits)) for i in range(HASHES)]), F.lit(False))
@@ -124,25 +129,52 @@ class Cascade:
         """Adds a boolean: is the row's host listed?"""
         if self.table is None:
             return rows.withColumn(column, F.lit(False))
-        answer = F.lit(len(self.bits) % 2 == 1)
-        for level in range(len(self.bits), 0, -1):
-            answer = F.when(~_in_filter(level, self.bits[level - 1]), F.lit(level % 2 == 0)).otherwise(answer)
+        if self.shards * sum(self.bits) <= LITERAL_BITS:
+            return rows.withColumn(column, self._walk(self._constants()))
         looked = rows.withColumn("shard", self._shard()).join(self.table, "shard", "left")
-        levels = [f"level{i}" for i in range(1, len(self.bits) + 1)]
-        return looked.withColumn(column, answer).drop("shard", *levels)
-
-
-def filter_urls(pages: DataFrame, rules=RULES, listed_labels=LISTED_LABELS) -> DataFrame:
+        names = [f"level{i}" for i in range(1, len(self.bits) + 1)]
+        return looked.withColumn(column, self._walk([_in_filter(i, b) for i, b in enumerate(self.bits, 1)])).drop("shard", *names)
+
+    def _walk(self, passes: list[Column]) -> Column:
+        """The first level that a host does not pass tells whether it is listed; past the last, the last does."""
+        answer = F.lit(len(passes) % 2 == 1)
+        for level in range(len(passes), 0, -1):
+            answer = F.when(~passes[level - 1], F.lit(level % 2 == 0)).otherwise(answer)
+        return answer
+
+    def _constants(self) -> list[Column]:
+        """Each level's test over the words of all shards as one constant array; at most LITERAL_BITS bits reach the driver."""
+        rows = {r["shard"]: r for r in self.table.collect()}
+        passes = []
+        for level, bits in enumerate(self.bits, 1):
+            size = bits // 64
+            words = [w for shard in range(self.shards) for w in (shard in rows and rows[shard][f"level{level}"]) or [0] * size]
+            constant = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+            passes.append(_in_filter(level, bits, constant, self._shard() * size))
+        return passes
+
+
+def labelled_hosts(hosts: DataFrame, labels=LISTED_LABELS) -> DataFrame:
+    """(host) of the hosts one of whose labels is among those given."""
+    known = F.array(*[F.lit(x) for x in labels]).cast("array<string>")
+    return hosts.filter(F.arrays_overlap(F.split("host", r"\."), known)).select("host")
+
+
+def filter_urls(pages: DataFrame, rules=RULES, listed: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, listed) for every row of `pages` (page_id, url).
 
+    `listed` is a table of hosts (column host); without one, `labelled_hosts` of the pages
+    are listed.  Hosts of the list that no page has, nulls and repeats change nothing.
     A null url and one without `://` have an empty host and path, which no rule fits
-    and no list holds: they are allowed.  Repeated rows stay; other columns are ignored;
-    an empty table gives an empty result.
+    and which cannot be listed: they are allowed.  Repeated rows stay, urls of any length are
+    read whole, other columns are ignored; an empty table gives an empty result.
     """
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
-    labels = F.array(*[F.lit(x) for x in listed_labels]).cast("array<string>")
-    universe = parsed.select("host").distinct().withColumn("listed", F.arrays_overlap(F.split("host", r"\."), labels))
+    hosts = staged(parsed.select("host").distinct(), "url_hosts")
+    keys = labelled_hosts(hosts) if listed is None else listed.select("host")
+    keys = keys.filter("host <> ''").distinct().withColumn("listed", F.lit(True))
+    universe = hosts.join(keys, "host", "left").select("host", F.coalesce("listed", F.lit(False)).alias("listed"))
     judged = judge_by_rules(Cascade(universe).mark(parsed, "listed"), rules)
     verdict = F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "listed")

@@ -107,7 +107,24 @@ def test_urls(spark):
     assert filter_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
 
-def test_cascade_is_exact(spark, monkeypatch):
+def test_urls_of_a_given_list(spark):
+    """A host table with nulls, repeats and hosts that no page has; a very long url."""
+    far = "http://w.org/" + "x" * 300_000
+    pages = spark.createDataFrame([(1, "http://V.org/a"), (2, "http://w.org/a"), (3, None), (4, far), (5, "http://v.org.com/")], "page_id long, url string")
+    listed = spark.createDataFrame([("w.org", 1), ("w.org", 2), (None, 3), ("", 4), ("else.org", 5)], "host string, listed int")
+    got = {r.page_id: (r.verdict, r.listed, len(r.path)) for r in filter_urls(pages, listed=listed).collect()}
+    assert got == {1: ("allow", False, 2), 2: ("block", True, 2), 3: ("allow", False, 0), 4: ("block", True, 300_001), 5: ("allow", False, 1)}
+
+
+def test_pages_are_not_joined(spark):
+    """Filters below the bound are constants: pages are neither joined nor shuffled."""
+    plan = filter_urls(spark.read.parquet(f"{SF}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 30])
+def test_cascade_is_exact(spark, monkeypatch, bound):
+    monkeypatch.setattr(url_filter, "LITERAL_BITS", bound)
     monkeypatch.setattr(url_filter, "SHARD_BITS", 1 << 10)  # several shards
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 3)  # many false positives, so many levels
     hosts = spark.range(6000).selectExpr("concat('h', id, '.org') host", "id % 7 = 0 listed")
