@@ -103,29 +103,48 @@ def _nearest(pivots, prefix: int):
     return run
 
 
-def shared_first(a: np.ndarray, b: np.ndarray, shared: int, pivot: int) -> np.ndarray:
-    """Rows whose prefixes share enough pivots, the smallest of them being `pivot`."""
-    same = a[:, :, None] == b[:, None, :]
-    has = same.any(2)
-    first = np.where(has, a, np.iinfo(np.int32).max).min(1)
-    return (has.sum(1) >= min(shared, a.shape[1])) & (first == pivot)
+def pivot_lists(nearest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pivots of all rows in order, and the row of each."""
+    flat = nearest.ravel()
+    order = np.argsort(flat, kind="stable")
+    return flat[order], order // nearest.shape[1]
+
+
+def sharing(asking: np.ndarray, lists: tuple[np.ndarray, np.ndarray], n: int, shared: int, pivot: int) -> np.ndarray:
+    """Which of n listed rows share enough pivots with each asking row, the smallest of them being `pivot`.
+
+    The lists of an asking row's pivots are read and their rows counted.
+    """
+    pivots, rows = lists
+    flat = asking.ravel()
+    begin, end = np.searchsorted(pivots, flat, "left"), np.searchsorted(pivots, flat, "right")
+    size = end - begin
+    read = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+    pair = np.repeat(np.arange(len(flat)) // asking.shape[1] * n, size) + rows[read]
+    enough = np.bincount(pair, minlength=len(asking) * n) >= min(shared, asking.shape[1])
+    enough[pair[np.repeat(flat, size) < pivot]] = False
+    return enough.reshape(len(asking), n)
 
 
 def link_block(left: dict, right: dict | None, pivot: int, cosine: float, shared: int):
-    """Links of one block: copies linked to each vector, and the linked pairs, in chunks."""
+    """Links of one block: copies linked to each vector, and the linked pairs, in chunks.
+
+    Shared pivots are counted first; cosines are only taken with rows that share enough.
+    """
     x, y = left, right or left
     counts = [np.zeros(len(x["node"]), np.int64), np.zeros(len(y["node"]), np.int64)]
     nodes, roots = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for low in range(0, len(x["node"]), 256):
-        part = slice(low, low + 256)
-        i, j = np.nonzero(x["unit"][part] @ y["unit"].T >= cosine - 1e-9)
-        i += low
+    lists = pivot_lists(y["nearest"])
+    for low in range(0, len(x["node"]), 64):
+        part = slice(low, low + 64)
+        able = sharing(x["nearest"][part], lists, len(y["node"]), shared, pivot)
         if right is None:
-            i, j = i[i < j], j[i < j]
+            able &= np.arange(low, low + len(able))[:, None] < np.arange(len(y["node"]))
+        some = np.flatnonzero(able.any(0))
+        i, j = np.nonzero(able[:, some] & (x["unit"][part] @ y["unit"][some].T >= cosine - 1e-9))
+        i, j = i + low, some[j]
         for at in range(0, len(i), 1 << 16):
             p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            ok = shared_first(x["nearest"][p], y["nearest"][q], shared, pivot)
-            p, q = p[ok], q[ok]
             ok = (x["unit"][p] * y["unit"][q]).sum(1) >= cosine
             p, q = p[ok], q[ok]
             np.add.at(counts[0], p, y["copies"][q])

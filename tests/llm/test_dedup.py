@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from flightlake.llm import ngram_join, substring_dedup
-from flightlake.llm.embedding_dedup import embedding_links
+from flightlake.llm.embedding_dedup import embedding_links, pivot_lists, sharing
 from flightlake.llm.line_dedup import deduplicated, within
 from flightlake.llm.ngram_join import group_leaders, ngram_components, segment_keys, size_classes
 from flightlake.llm.substring_dedup import SuffixAutomaton, _compared, _found, anchors, remove_repeats
@@ -291,6 +291,16 @@ def embedding_rows(seed):
     ]
 
 
+def test_shared_pivots_are_counted():
+    rng = np.random.default_rng(3)
+    for shared, pivot in ((1, 0), (2, 3), (3, 5)):
+        x, y = (np.array([rng.choice(9, 4, replace=False) for _ in range(n)], np.int32) for n in (7, 11))
+        x[:, 0], y[:, 0] = np.where((x == pivot).any(1), x[:, 0], pivot), np.where((y == pivot).any(1), y[:, 0], pivot)
+        got = sharing(x, pivot_lists(y), len(y), shared, pivot)
+        want = [[len(set(a) & set(b)) >= shared and min(set(a) & set(b)) == pivot for b in y.tolist()] for a in x.tolist()]
+        assert got.tolist() == want
+
+
 def test_embeddings(spark, monkeypatch):
     from flightlake.llm import embedding_dedup
 
