@@ -33,6 +33,8 @@ SHARED = 2
 LEAST_PIVOTS = 64
 MOST_PIVOTS = 4096
 BLOCK = 2048
+#: entries of lists read in one step
+READ = 1 << 18
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -134,14 +136,16 @@ def link_block(left: dict, right: dict | None, pivot: int, cosine: float, shared
     x, y = left, right or left
     counts = [np.zeros(len(x["node"]), np.int64), np.zeros(len(y["node"]), np.int64)]
     nodes, roots = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lists = pivot_lists(y["nearest"])
-    for low in range(0, len(x["node"]), 64):
-        part = slice(low, low + 64)
-        able = sharing(x["nearest"][part], lists, len(y["node"]), shared, pivot)
+    lists, n = pivot_lists(y["nearest"]), len(y["node"])
+    step = max(1, min(64, READ // y["nearest"].size))
+    for low in range(0, len(x["node"]), step):
+        part = slice(low, low + step)
+        able = sharing(x["nearest"][part], lists, n, shared, pivot)
         if right is None:
-            able &= np.arange(low, low + len(able))[:, None] < np.arange(len(y["node"]))
+            able &= np.arange(low, low + len(able))[:, None] < np.arange(n)
         some = np.flatnonzero(able.any(0))
-        i, j = np.nonzero(able[:, some] & (x["unit"][part] @ y["unit"][some].T >= cosine - 1e-9))
+        others = y["unit"] if len(some) == n else y["unit"][some]
+        i, j = np.nonzero(able[:, some] & (x["unit"][part] @ others.T >= cosine - 1e-9))
         i, j = i + low, some[j]
         for at in range(0, len(i), 1 << 16):
             p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
