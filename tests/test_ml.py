@@ -348,3 +348,34 @@ def test_heuristic_score_of_known_flight(spark, parts):
     row = score.score(flight, stats).first()
     assert row["delay_probability"] == pytest.approx(min(0.9, stats.global_rate * 0.95))
     assert row["estimated_delay_minutes"] == pytest.approx(stats.global_delay * 0.95)
+
+
+def test_a_pass_of_boosting_is_one_small_job(spark):
+    """A level of a tree costs one job of one stage, whatever came before it."""
+    df = spark.range(4000).select((F.col("id") % 97).alias("a"), (F.col("id") % 31).alias("b"), (F.col("id") % 13 * 1.5).alias("y"))
+    settings = boosting.BoostSettings(iterations=8, depth=3, leaves=8, min_leaf=20)
+    spark.sparkContext.setJobGroup("boost", "one fit")
+    boosting.fit(df, ["a", "b"], "y", "squared", settings)
+    spark.sparkContext.setJobGroup("other", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup("boost")]
+    assert sum(stages) <= settings.iterations * settings.depth + 20
+
+
+def test_a_large_ensemble_is_walked_and_adds_as_its_expression(spark):
+    rows = [(-1, 1, None, None, None, None, 0.1, None, 0)]
+    for t in range(boosting.EXPRESSION_NODES // 3 + 5):
+        rows.append((t, 1, "ab"[t % 2], t / 7, 2, 3, 0.0, None, 0))
+        rows += [(t, 2, None, None, None, None, 0.3 / (t + 1), None, 0), (t, 3, None, None, None, None, -0.7 / (t + 2), None, 0)]
+    large = boosting.Ensemble("log", rows)
+    df = spark.createDataFrame(
+        [(None, 1.0), (float("nan"), 2.0), (3.0, None), (float("-inf"), 9.5), (4 / 7, 5 / 7)], "a double, b double"
+    )
+    got = df.select(large.margin().alias("m"), large.margin({"a": F.col("b") * 2}).alias("n"))
+    assert len(got._jdf.queryExecution().analyzed().toString()) < 5000
+    kept, boosting.EXPRESSION_NODES = boosting.EXPRESSION_NODES, 10**9
+    try:
+        nested = df.select(large.margin().alias("m"), large.margin({"a": F.col("b") * 2}).alias("n")).collect()
+    finally:
+        boosting.EXPRESSION_NODES = kept
+    assert got.collect() == nested
