@@ -379,3 +379,12 @@ def test_a_large_ensemble_is_walked_and_adds_as_its_expression(spark):
     finally:
         boosting.EXPRESSION_NODES = kept
     assert got.collect() == nested
+
+
+def test_a_feature_that_moves_no_prediction_has_no_importance(spark, parts):
+    """Rounding errors of sums are no loss, however small all losses are."""
+    _, test, stats = parts
+    many = test.crossJoin(spark.range(400)).withColumn("flight_number", F.col("id").cast("int")).drop("id")
+    rows = features.add_features(many, stats).withColumn(features.TARGET_MINUTES, 1000 + F.rand(5))
+    found = models.permutation_importance(lambda f: f["day_of_week"] * 0.0 + 0.1, rows).collect()
+    assert len(found) == len(FEATURE_COLUMNS) and not any(r["importance"] for r in found)
