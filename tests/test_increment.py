@@ -35,3 +35,17 @@ def _column(name):
     if name == "month":
         return (F.col("id") % 12 + 1).cast("int").alias(name)
     return F.col("id").cast("string").alias(name)
+
+
+def test_incr_new_facts_takes_the_whole_batch_and_month(spark, monkeypatch):
+    """The batch is every fact, and no day of the missing month is left out."""
+    from flightlake import catalog
+
+    seen = []
+    monkeypatch.setattr(catalog, "new_facts", lambda facts, *held: seen.append((facts, held)) or new_facts(facts, *held))
+    found = catalog.QUERIES["incr_new_facts"](spark, "/root/testdata/sf0.001")
+    facts = catalog.Workspace.of(spark, "/root/testdata/sf0.001").star.fact_flight
+    (batch, _), = seen
+    assert batch.count() == facts.count()
+    last = facts.agg({"date_key": "max"}).first()[0] // 100
+    assert found.count() == facts.filter(f"date_key div 100 = {last}").count()
