@@ -215,3 +215,34 @@ def test_rounding_and_safe_share(spark):
         rounded(F.lit(1.005)), share(F.lit(1), F.lit(3)), share(F.lit(1), F.lit(0))
     ).first()
     assert list(row) == [1.01, 33.33, None]
+
+
+def test_publishing_shuffles_digests_and_sorts_source_rows_once(spark, raw, tmp_path):
+    """No whole row is shuffled to find repeats where none repeats; copies are still one row."""
+    from flightlake.operators.clean import publish_clean
+    from flightlake.operators.duplicates import distinct_rows
+    from flightlake.operators.standard import clean_by_digest
+
+    lone = raw(*[dict(OP_CARRIER_FL_NUM=str(n)) for n in range(1, 9)])
+    plan = clean_by_digest(lone)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    copies = raw(*[dict(OP_CARRIER_FL_NUM=str(n % 5), TAIL_NUM=None if n % 2 else "N1") for n in range(40)])
+    assert sorted(distinct_rows(copies).collect(), key=str) == sorted(copies.distinct().collect(), key=str)
+    assert sorted(publish_clean(copies, str(tmp_path / "a")).select("flight_number", "tail_number").collect(), key=str) == sorted(
+        clean_standard(copies).select("flight_number", "tail_number").collect(), key=str
+    )
+
+
+def test_shuffles_start_with_partitions_for_the_source(spark):
+    from flightlake import session
+
+    kept = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+        session.spread(spark, 1000)
+        assert session.partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        session.spread(spark, 90 * session.PARTITION_INPUT)
+        session.spread(spark, 10 * session.PARTITION_INPUT)
+        assert session.partitions(spark) == 90
+    finally:
+        spark.conf.set(session.INITIAL_PARTITIONS, kept) if kept else spark.conf.unset(session.INITIAL_PARTITIONS)
