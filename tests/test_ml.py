@@ -388,3 +388,40 @@ def test_a_feature_that_moves_no_prediction_has_no_importance(spark, parts):
     rows = features.add_features(many, stats).withColumn(features.TARGET_MINUTES, 1000 + F.rand(5))
     found = models.permutation_importance(lambda f: f["day_of_week"] * 0.0 + 0.1, rows).collect()
     assert len(found) == len(FEATURE_COLUMNS) and not any(r["importance"] for r in found)
+
+
+def test_features_that_follow_from_another_are_not_counted(spark):
+    """Bins of an hour bring those of its sine and its peak flag; the sums are those of a direct count."""
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, [24, 5, 7], (3000, 3))
+    bins = np.concatenate([bins, bins[:, :1] % 2, (bins[:, :1] + 3) % 24], 1).astype(np.uint8)
+    n, y = rng.integers(1, 4, 3000), rng.integers(-(10**6), 10**6, 3000)
+    blocks = spark.sparkContext.parallelize([(bins[i::4], n[i::4], y[i::4], np.zeros(len(n[i::4]))) for i in range(4)], 3)
+    columns = boosting._columns(blocks, [24, 5, 7, 2, 24])
+    assert [c for c, _ in columns.counted] == [0, 1, 2] and {b: a for b, (a, _) in columns.followed.items()} == {3: 0, 4: 0}
+    found = boosting._histograms(blocks, boosting.Tree({1: boosting.Node(1, 0, 0.0)}), [1], "squared", columns, boosting.BoostSettings())[0]
+    for f in range(5):
+        for b in range(24):
+            at = bins[:, f] == b
+            assert found[:, f, b].tolist() == [n[at].sum(), -y[at].sum(), n[at].sum() * boosting.UNITS["squared"]]
+
+
+def test_a_tree_of_many_leaves_is_walked_by_bits(spark):
+    """More leaves than a word has bits, values at and between thresholds, null and NaN."""
+    rows = [(-1, 1, None, None, None, None, 0.5, None, 0)]
+    for t in range(3):
+        rows += [(t, k, "ab"[k % 2], float((k * 37) % 64), 2 * k, 2 * k + 1, 0.0, None, 0) for k in range(1, 64)]
+        rows += [(t, k, None, None, None, None, k / (t + 3), None, 0) for k in range(64, 128)]
+    large = boosting.Ensemble("squared", rows)
+    df = spark.range(3000).select((F.col("id") % 65).cast("double").alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") * 0.37 % 64).alias("b"))
+    df = df.unionByName(spark.createDataFrame([(float("nan"), 1.0), (None, None)], "a double, b double"))
+    kept, boosting.EXPRESSION_NODES = boosting.EXPRESSION_NODES, 10**9
+    try:
+        nested = df.select(large.margin().alias("m")).collect()
+    finally:
+        boosting.EXPRESSION_NODES = kept
+    boosting.EXPRESSION_NODES, size = 1, boosting.EXPRESSION_NODES
+    try:
+        assert df.select(large.margin().alias("m")).collect() == nested
+    finally:
+        boosting.EXPRESSION_NODES = size
