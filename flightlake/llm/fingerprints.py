@@ -181,7 +181,8 @@ def fingerprint_pairs(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     )
     bounds, largest, following = _ranges(rows.select(at.alias("at")), parts)
     here = F.struct(F.col("range"), F.lit(False).alias("sent"))
-    to = F.struct(F.get(_numbers(following, "int"), F.col("range")).alias("range"), F.lit(True).alias("sent"))
+    # never null, also to the planner: it would check that for one of the uses alone, and deal the texts twice
+    to = F.struct(F.coalesce(F.get(_numbers(following, "int"), F.col("range")), F.lit(-1)).alias("range"), F.lit(True).alias("sent"))
     ends = F.get(_numbers(largest, "long"), F.col("range")) == F.col("at")
     dealt = (
         rows.withColumn("at", at)

@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import connect, differences
 from flightlake.llm import url_filter
@@ -190,3 +191,13 @@ def test_targets_follow_the_rule(spark):
     df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
     got = {r.source: r.target for r in source_targets(df).collect()}
     assert got == pytest.approx(targets(sizes))
+
+
+def test_texts_are_dealt_once(spark):
+    """Counting words and looking at neighbours read one exchange of the texts."""
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), F.col("id")).alias("text"))
+    found = fingerprint_pairs(docs)
+    assert len(found.collect()) == 40
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [line for line in plan.split("\n") if "REPARTITION_BY_NUM" in line and "ReusedExchange" not in line]
+    assert len(dealt) == 1
