@@ -42,66 +42,64 @@ class Pieces:
         for value, piece in enumerate(byte_ids):
             self.bytes_of[piece] = bytes([value])
         automaton = ahocorasick.Automaton()
-        self.score: list[float] = list(scores)
         lowest = 0.0
         for i, piece in enumerate(pieces):
             if piece and i not in skip and np.isfinite(scores[i]):
                 if MARK in piece.lstrip(MARK):
                     raise ValueError(f"piece {piece!r} goes on past a space; chunks would not be independent")
-                automaton.add_word(piece, (i, len(piece)))
+                automaton.add_word(piece, (len(piece), scores[i], i))
                 lowest = min(lowest, scores[i])
         if len(automaton):
             automaton.make_automaton()
         self.automaton = automaton
         self.missing = lowest - 10.0  # a byte piece is worse than any piece of text
-        self._seen: dict[str, array] = {}
+        self._seen: dict[str, bytes] = {}
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of marked text; of equal scores the shortest last piece wins."""
-        n = len(chunk)
-        best = [0.0] + [-np.inf] * n
-        back: list[tuple[int, int]] = [(-1, 0)] * (n + 1)
-        done = 0
-        matches = self.automaton.iter(chunk) if len(self.automaton) else iter(())
-        for end, (piece, length) in chain(matches, [(n, (-1, 0))]):
-            while done < end:  # every position before this one is final: fill gaps by bytes
+        missing, nothing = self.missing, (0, 0.0, -1)
+        best, back = [0.0], [nothing]  # of the positions that are final
+        done, top, last = 0, -np.inf, nothing  # the position after those, as its matches relax it
+        end_of_chunk = [(len(chunk), nothing)]
+        for end, match in chain(self.automaton.iter(chunk) if len(self.automaton) else (), end_of_chunk):
+            while done < end:  # every position before this match's end is final: fill gaps by bytes
+                score = best[done] + missing
+                if score > top:
+                    top, last = score, nothing
+                best.append(top)
+                back.append(last)
                 done += 1
-                self._bytes(best, back, done)
-            if piece >= 0:
-                score = best[end + 1 - length] + self.score[piece]
-                if score > best[end + 1] or (score == best[end + 1] and length < back[end + 1][1]):
-                    best[end + 1] = score
-                    back[end + 1] = (piece, length)
+                top, last = -np.inf, nothing
+            length = match[0]
+            if length:
+                score = best[done + 1 - length] + match[1]
+                if score > top or (score == top and length < last[0]):
+                    top, last = score, match
         ids: list[int] = []
-        at = n
+        at = len(chunk)
         while at > 0:
-            piece, length = back[at]
-            if piece >= 0:
+            length, _, piece = back[at]
+            if length:
                 ids.append(piece)
                 at -= length
             else:
                 at -= 1
-                char = chunk[at]
-                ids += [self.byte_ids[b] for b in reversed(char.encode("utf-8", "surrogatepass"))]
+                ids += [self.byte_ids[b] for b in reversed(chunk[at].encode("utf-8", "surrogatepass"))]
         ids.reverse()
         return ids
 
-    def _bytes(self, best, back, at: int) -> None:
-        score = best[at - 1] + self.missing
-        if score > best[at]:
-            best[at] = score
-            back[at] = (-1, 1)
-
     def encode(self, text: str) -> array:
         """Ids of a text; a space is put before it, as the model was made."""
-        seen, out = self._seen, array("i")
-        for chunk in _CHUNK.findall(" " + text):
-            ids = seen.get(chunk)
-            if ids is None:
-                if len(seen) >= CACHE:
-                    seen.clear()
-                ids = seen[chunk] = array("i", self._chunk(chunk))
-            out += ids
+        seen, chunks, out = self._seen, _CHUNK.findall(" " + text), array("i")
+        parts = list(map(seen.get, chunks))
+        if None in parts:
+            for i, ids in enumerate(parts):
+                if ids is None and (ids := seen.get(chunks[i])) is None:
+                    if len(seen) >= CACHE:
+                        seen.clear()
+                    ids = seen[chunks[i]] = array("i", self._chunk(chunks[i])).tobytes()
+                parts[i] = ids
+        out.frombytes(b"".join(parts))
         return out
 
     def _chunk(self, chunk: str) -> list[int]:
@@ -119,7 +117,7 @@ class Pieces:
     def decode(self, ids: Iterable[int]) -> str:
         """The text again, without the space put before it."""
         table = self.bytes_of
-        return b"".join([table[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
+        return b"".join(map(table.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
 def read_model(path: str = MODEL) -> tuple[list[str], list[float], list[int]]:
