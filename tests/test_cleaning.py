@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -38,6 +40,16 @@ def test_hhmm_rejects_invalid_times(spark):
     assert hours(spark, values) == [None] * len(values)
 
 
+def test_texts_never_reach_the_cast_and_numbers_always_do(spark):
+    texts = ["BOS", "Boston, MA", "0800-0859", "01/01/2024 12:00:00 AM", "N779JB", "", "12f", "3d ", "--1", "1-2"]
+    assert not [t for t in texts if re.search(casts._NUMBER_LIKE, t)]
+    numbers = ["5", " 5 ", "\t-5", "+.5", "5.", "1e-5", "-1E-5", "0x1p-3", "-Infinity", "1" * 5000 + ".0"]
+    df = spark.createDataFrame([(t,) for t in texts + numbers], "t string")
+    found = {r["t"]: r["n"] for r in df.select("t", casts.number(df, "t").alias("n")).collect()}
+    assert all(found[t] is None for t in texts)
+    assert [found[t] for t in numbers] == [5, 5, -5, 0.5, 5, 1e-5, -1e-5, 0.125, -math.inf, math.inf]
+
+
 @settings(max_examples=5, deadline=None)
 @given(values=st.lists(st.integers(-200, 3000), min_size=50, max_size=200))
 def test_hhmm_matches_plain_arithmetic(spark, values):
