@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flightlake.catalog import Workspace
+from flightlake.catalog import QUERIES, Workspace
 from flightlake.contracts import FEATURE_COLUMNS
 from flightlake.ml import baselines, boosting, evaluate, features, models, score
 from flightlake.operators.ranks import exact_quantiles, grouped_medians, running_totals
@@ -425,3 +425,17 @@ def test_a_tree_of_many_leaves_is_walked_by_bits(spark):
         assert df.select(large.margin().alias("m")).collect() == nested
     finally:
         boosting.EXPRESSION_NODES = size
+
+
+def test_residuals_and_importance_fit_no_classifier(spark, monkeypatch):
+    """A query of one model does not wait for the other, and shows what the saved run holds."""
+    monkeypatch.setattr(Workspace, "settings", boosting.BoostSettings(iterations=2))
+    monkeypatch.setattr(Workspace, "_open", {})
+    sf, found = "/root/testdata/sf0.001", {}
+    with monkeypatch.context() as alone:
+        alone.setattr(models, "fit_classifier", None)
+        for name in ("ml_gbt_residuals", "ml_perm_importance"):
+            found[name] = sorted(QUERIES[name](spark, sf).collect())
+    run = Workspace.of(spark, sf).run
+    assert found == {"ml_gbt_residuals": sorted(run.residuals.collect()), "ml_perm_importance": sorted(run.importance.collect())}
+    assert sorted(QUERIES["ml_gbt_tiers"](spark, sf).collect()) == sorted(run.metrics.collect())
