@@ -13,7 +13,9 @@ hashes; two documents link when their sets' Jaccard similarity reaches the thres
    histograms.  Every pair of a group is held against a bound: the histograms of two sets'
    hashes differ by no more than the sets do.  Only a forest of the pairs that pass leaves
    the task, so rows grow with the documents of a group and not with its pairs.  Where
-   more than GROUP documents meet in one segment they are joined unseen, in a chain.
+   more than GROUP documents meet in one segment they are joined unseen, in a chain.  A large
+   group meets in the segments of every task, so chains leave a task packed by node and are
+   added up before they become rows: about one for each document, however many tasks saw it.
 3. Only the sets of candidates are shipped, each to its component's blocks.  A
    block stores them in a prefix tree and walks it with all queries at once: the
    overlap counted down to a node serves every set below it, and a subtree is
@@ -31,6 +33,7 @@ threshold meets in none of them stays below 1e-8, and far below that above it.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -193,47 +196,66 @@ def _segments(size: int, percent: int, buckets: int):
     return run
 
 
-def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(members, a, b): groups that share a segment in the buckets of this task, and chains of crowded ones."""
-    keys, nodes, x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+def _meet(ranges: int):
+    """(members, part, nodes, roots): groups that share a segment in the buckets of a task, and the chains
+    of its crowded ones, packed for each of the `ranges` that their nodes are dealt to.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+        for batch in batches:
+            for bucket, key, node, root in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if key is None:
+                    x.append(_unpacked(node))
+                    y.append(_unpacked(root))
+                else:
+                    keys.append(_unpacked(key))
+                    nodes.append(_unpacked(node))
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        del keys, nodes
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.ones(len(key), bool)  # a set that several tasks have sent
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        first = np.ones(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
+        start = np.flatnonzero(first)
+        width = np.diff(np.append(start, len(key)))
+        crowded = np.repeat(width > GROUP, width)
+        crowded[start] = False
+        x.append(node[crowded])
+        y.append(node[np.flatnonzero(crowded) - 1])
+        x, y = local_roots(np.concatenate(x), np.concatenate(y))
+        apart = x != y
+        rows: list[tuple] = []
+        for size in range(2, GROUP + 1):
+            at = start[width == size]
+            if len(at):
+                groups = np.unique(node[at[:, None] + np.arange(size)], axis=0)
+                place = np.minimum(np.searchsorted(x, groups), max(len(x) - 1, 0))
+                chain = np.where(x[place] == groups, y[place], groups) if len(x) else groups
+                groups = groups[(chain != chain[:, :1]).any(axis=1)]  # what a chain joins is no group
+                rows += [(_packed(group), None, None, None) for group in groups]
+        a, b = x[apart], y[apart]
+        part = (mix(a.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+        rows += [(None, int(p), _packed(a[part == p]), _packed(b[part == p])) for p in np.unique(part)]
+        kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=["members", "part", "nodes", "roots"]
+        )
+
+    return run
+
+
+def _chains(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): the packed chains of a task as one forest, folded batch by batch."""
+    a = b = np.zeros(0, np.int64)
     for batch in batches:
-        for bucket, key, node, root in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if key is None:
-                x.append(_unpacked(node))
-                y.append(_unpacked(root))
-            else:
-                keys.append(_unpacked(key))
-                nodes.append(_unpacked(node))
-    key, node = np.concatenate(keys), np.concatenate(nodes)
-    del keys, nodes
-    order = np.lexsort((node, key))
-    key, node = key[order], node[order]
-    new = np.ones(len(key), bool)  # a set that several tasks have sent
-    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-    key, node = key[new], node[new]
-    first = np.ones(len(key), bool)
-    first[1:] = key[1:] != key[:-1]
-    start = np.flatnonzero(first)
-    width = np.diff(np.append(start, len(key)))
-    crowded = np.repeat(width > GROUP, width)
-    crowded[start] = False
-    x.append(node[crowded])
-    y.append(node[np.flatnonzero(crowded) - 1])
-    x, y = local_roots(np.concatenate(x), np.concatenate(y))
-    apart = x != y
-    members: list[bytes | None] = [None] * int(apart.sum())
-    for size in range(2, GROUP + 1):
-        at = start[width == size]
-        if len(at):
-            rows = np.unique(node[at[:, None] + np.arange(size)], axis=0)
-            place = np.minimum(np.searchsorted(x, rows), max(len(x) - 1, 0))
-            chain = np.where(x[place] == rows, y[place], rows) if len(x) else rows
-            rows = rows[(chain != chain[:, :1]).any(axis=1)]  # what a chain joins is no group
-            members += [_packed(row) for row in rows]
-    none = [None] * (len(members) - int(apart.sum()))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(members, pa.binary()), pa.array(x[apart].tolist() + none, pa.int64()), pa.array(y[apart].tolist() + none, pa.int64())],
-        names=["members", "a", "b"])
+        nodes, roots = ([_unpacked(x) for x in batch.column(c).to_pylist()] for c in ("nodes", "roots"))
+        nodes, roots = local_roots(np.concatenate([a, *nodes]), np.concatenate([b, *roots]))
+        a, b = nodes[nodes != roots], roots[nodes != roots]
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,14 +536,17 @@ def _grouped(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     keys = texts.mapInArrow(
         _segments(shingle, percent, 8 * parts), "bucket int, keys binary, nodes binary, roots binary"
     )
-    met = keys.repartition(parts, "bucket").mapInArrow(_meet, "members binary, a long, b long").distinct()
-    met = staged(met.withColumn("met", F.xxhash64("members")), "ngram_met")
+    ranges = 1 + isqrt(parts)  # with so many, neither the packed rows nor what one range gathers outgrow the tasks
+    met = keys.repartition(parts, "bucket").mapInArrow(_meet(ranges), "members binary, part int, nodes binary, roots binary")
+    met = staged(met.distinct().withColumn("met", F.xxhash64("members")), "ngram_met")
     entries = met.filter("members IS NOT NULL").select("met", "members").mapInArrow(_entries, "met long, short long")
+    chains = met.filter("members IS NULL").select("part", "nodes", "roots").repartition(parts, "part")
+    chains = chains.mapInArrow(_chains, "a long, b long")
     bits = spark.sparkContext.broadcast(sieve(entries.select("short"), "short"))
     cells = texts.mapInArrow(_histograms(shingle, bits), "short long, node long, n long, cells binary").dropDuplicates(["node"])
     both = entries.join(cells, "short").select("met", "short", "n", "cells")
     forest = both.repartition(parts, "met").sortWithinPartitions("met").mapInArrow(_possible(percent), "a long, b long")
-    near = forest.unionByName(met.filter("members IS NULL").select("a", "b"))
+    near = forest.unionByName(chains)
     candidate = components(near, "ngram_near").withColumnRenamed("node", "short")
     bits = spark.sparkContext.broadcast(sieve(candidate, "short"))
     size = ids.groupBy("node").agg(F.max("n_shingles").alias("n"))

@@ -8,10 +8,12 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from flightlake.llm import ngram_join, substring_dedup
 from flightlake.llm.embedding_dedup import embedding_links, pivot_lists, sharing
+from flightlake.llm.graph import local_roots
 from flightlake.llm.line_dedup import deduplicated, within
 from flightlake.llm.ngram_join import group_leaders, ngram_components, segment_keys, size_classes
 from flightlake.llm.substring_dedup import SuffixAutomaton, _compared, _found, anchors, remove_repeats
@@ -56,6 +58,25 @@ def test_ngram_components(spark, monkeypatch, seed, low, high):
     assert got == want
 
 
+def test_chains_of_a_large_group_are_added_up_before_they_are_rows():
+    """Every task sees the whole group in a crowded segment; a chain is a row for each document once, not once a task."""
+    many, tasks, ranges = 500, 40, 7
+    nodes = np.arange(1, many + 1) * 7919
+    kinds = [("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary()), ("roots", pa.binary())]
+    met = []
+    for task in range(tasks):
+        held = nodes[task % 3 :]  # not the same smallest one everywhere
+        row = dict(bucket=task, keys=ngram_join._packed(np.full(len(held), task)), nodes=ngram_join._packed(held), roots=None)
+        met += ngram_join._meet(ranges)(iter([pa.RecordBatch.from_pylist([row], schema=pa.schema(kinds))]))
+    assert sum(batch.num_rows for batch in met) <= tasks * ranges
+    rows = pa.Table.from_batches(met)
+    parts = [rows.filter(pc.equal(rows["part"], p)).combine_chunks().to_batches() for p in range(ranges)]
+    edges = [edge for part in parts if part for batch in ngram_join._chains(iter(part)) for edge in zip(*batch.to_pydict().values())]
+    assert len(edges) <= many + 3 * ranges
+    found, roots = local_roots(*np.array(edges).T)
+    assert found.tolist() == nodes.tolist() and set(roots.tolist()) == {7919}
+
+
 def test_ngram_repeated_rows_and_nulls(spark):
     text = "a b c d e f g"
     rows = [(5, text), (5, text), (None, text), (9, text), (None, ""), (7, "q")]
