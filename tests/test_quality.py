@@ -147,3 +147,14 @@ def test_month_sketches_unite(spark, tmp_path):
         assert abs(year[metric] - exact) <= 3 * profile.SKETCH_ERROR * exact
     assert found((2024, 2), (2024, 2))["flights"] == 1000
     assert not any(found((2025, 1), (2025, 12)).values())
+
+
+def test_profiles_of_one_pass_write_no_table_first(spark):
+    from flightlake.catalog import QUERIES, Workspace
+
+    fresh = "/root/testdata/sf0.001/."  # a name that no other test has opened
+    alone = {name: QUERIES[name](spark, fresh).collect() for name in ("profile_missing", "profile_flights")}
+    ws = Workspace.of(spark, fresh)
+    assert "edge" not in vars(ws)
+    assert ws.edge.columns == ws.edge_once.columns and ws.edge_once is ws.edge
+    assert alone == {name: QUERIES[name](spark, fresh).collect() for name in alone}
