@@ -258,3 +258,13 @@ def test_shuffles_start_with_partitions_for_the_source(spark):
         assert session.partitions(spark) == 90
     finally:
         spark.conf.set(session.INITIAL_PARTITIONS, kept) if kept else spark.conf.unset(session.INITIAL_PARTITIONS)
+
+
+def test_sink_needs_no_other_clean_table(spark):
+    from flightlake.catalog import QUERIES, Workspace
+
+    fresh = "/root/testdata/sf0.001/./."  # a name that no other test has opened
+    found = QUERIES["sink_parquet_roundtrip"](spark, fresh)
+    ws = Workspace.of(spark, fresh)
+    assert "clean_path" not in vars(ws)
+    assert sorted(found.collect(), key=str) == sorted(ws.clean.select(*found.columns).collect(), key=str)
