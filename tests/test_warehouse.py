@@ -267,3 +267,14 @@ def test_keys_need_no_exchange_of_fact_rows(spark, raw, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows == 39 and [tuple(r) for r in found] == [(n, n) for n in range(1, 40)]
 
+
+
+def test_mismatch_keeps_only_the_columns_that_are_compared(spark):
+    from flightlake.catalog import QUERIES, Workspace
+
+    fresh = "/root/testdata/sf0.001/././."  # a name that no other test has opened
+    found = QUERIES["dq_warehouse_mismatch"](spark, fresh)
+    ws = Workspace.of(spark, fresh)
+    assert "edge_clean" not in vars(ws)
+    whole = checks.validate_warehouse(ws.edge_clean, ws.star)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
