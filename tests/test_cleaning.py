@@ -260,6 +260,19 @@ def test_shuffles_start_with_partitions_for_the_source(spark):
         spark.conf.set(session.INITIAL_PARTITIONS, kept) if kept else spark.conf.unset(session.INITIAL_PARTITIONS)
 
 
+def test_repeats_are_looked_for_by_one_digest(spark, raw, monkeypatch):
+    """8 bytes a row are shuffled for it, and rows that share a digest by chance all stay."""
+    from flightlake.operators import duplicates
+
+    kept, write = [], duplicates.staged
+    monkeypatch.setattr(duplicates, "staged", lambda df, name: kept.append(df.columns) or write(df, name))
+    copies = raw(*[dict(OP_CARRIER_FL_NUM=str(n % 5)) for n in range(20)])
+    assert duplicates.distinct_rows(copies).count() == 5
+    monkeypatch.setattr(duplicates, "row_digest", lambda df: {"_digest1": F.lit(1), "_digest2": F.lit(2)})
+    assert duplicates.distinct_rows(copies).count() == 5
+    assert kept == [["_digest1"], ["_digest1"]]
+
+
 def test_sink_needs_no_other_clean_table(spark):
     from flightlake.catalog import QUERIES, Workspace
 
