@@ -439,3 +439,16 @@ def test_residuals_and_importance_fit_no_classifier(spark, monkeypatch):
     run = Workspace.of(spark, sf).run
     assert found == {"ml_gbt_residuals": sorted(run.residuals.collect()), "ml_perm_importance": sorted(run.importance.collect())}
     assert sorted(QUERIES["ml_gbt_tiers"](spark, sf).collect()) == sorted(run.metrics.collect())
+
+
+def test_both_models_share_their_cells(spark, monkeypatch):
+    """Flights are binned and dealt once for both, and the models are those of separate fits."""
+    settings, written, write = boosting.BoostSettings(iterations=2), [], boosting.staged
+    monkeypatch.setattr(Workspace, "settings", settings)
+    monkeypatch.setattr(Workspace, "_open", {})
+    monkeypatch.setattr(boosting, "staged", lambda df, name: written.append(name) or write(df, name))
+    ws = Workspace.of(spark, "/root/testdata/sf0.001")
+    ws.fit_both()
+    assert written == ["boost_cells"]
+    assert ws.regressor == models.fit_regressor(ws.train_features, settings)
+    assert ws.classifier == models.fit_classifier(ws.train_features, settings)
