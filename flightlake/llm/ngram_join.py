@@ -10,12 +10,15 @@ hashes; two documents link when their sets' Jaccard similarity reaches the thres
    together.  Size classes grow by 1 / threshold, and a set is cut for its own class
    and the one below: every pair that can link is cut alike once.
 2. Documents that met in a segment travel as one group, equal groups once, to their
-   histograms.  Every pair of a group is held against a bound: the histograms of two sets'
-   hashes differ by no more than the sets do.  Only a forest of the pairs that pass leaves
+   sketches.  Every pair of a group is held against a bound: the parities of two sets'
+   hashes differ in no more cells than the sets do.  Only a forest of the pairs that pass leaves
    the task, so rows grow with the documents of a group and not with its pairs.  Where
    more than GROUP documents meet in one segment they are joined unseen, in a chain.  A large
    group meets in the segments of every task, so chains leave a task packed by node and are
    added up before they become rows: about one for each document, however many tasks saw it.
+   Segments that many documents share join most of a large corpus in one chain, so chains are
+   sifted: what one joins is held against the bound too, block against block within neighbouring
+   size classes, and only the pairs that pass are candidates.
 3. Only the sets of candidates are shipped, each to its component's blocks.  A
    block stores them in a prefix tree and walks it with all queries at once: the
    overlap counted down to a node serves every set below it, and a subtree is
@@ -51,6 +54,9 @@ BLOCK_TOKENS = 1 << 19
 SEEDS = ((64, 8), (256, 2), (1 << 62, 1))
 #: documents of one segment that are compared with each other
 GROUP = 32
+#: sketches a side of a block of chained documents, and their bytes
+SIFT_SETS = 4096
+SIFT_BYTES = 1 << 22
 _FLUSH = 1 << 20
 _SHORT = (1 << 40) - 1
 _MARK = 1 << 25
@@ -266,47 +272,127 @@ def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([ids[:0], *parts]))], names=["met", "short"])
 
 
-def histogram(values: np.ndarray) -> bytes:
-    """Counts of a set's shingles by hash, about four to a cell; cells are a power of two."""
-    cells = 1 << max(2, int(len(values) // 4).bit_length())
+def sketch(values: np.ndarray) -> bytes:
+    """Parities of the number of a set's shingles by hash, two to four cells for each; cells are a power of two."""
+    cells = 1 << max(6, (2 * len(values)).bit_length())
     counts = np.bincount((mix(values) >> np.uint64(32)).astype(np.int64) % cells, minlength=cells)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def least_difference(a: bytes, b: bytes) -> int:
-    """A number of shingles by which two sets differ at least."""
-    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
-    cells = min(len(x), len(y))
-    x, y = x.reshape(-1, cells), y.reshape(-1, cells)
-    if x.max() == 255 or y.max() == 255:
-        return 0
-    return int(np.abs(x.sum(0) - y.sum(0)).sum())
+    """A number of shingles by which two sets differ at least: the cells of unlike parity, with like cells on both sides."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    for cells in range(abs(len(a).bit_length() - len(b).bit_length())):
+        half = 4 * max(len(a), len(b)) >> cells
+        if len(a) > len(b):
+            x = (x >> half) ^ (x & ((1 << half) - 1))
+        else:
+            y = (y >> half) ^ (y & ((1 << half) - 1))
+    return (x ^ y).bit_count()
 
 
-def _histograms(size: int, bits):
-    """(short, node, n, cells) of the nodes that pass the sieve, once a task."""
+def _sketches(size: int, percent: int, bits):
+    """(short, node, n, level, cells) of the nodes that pass the sieve, once a task; the level is the size class."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            out: list[tuple[int, int, int, bytes]] = []
+            out: list[tuple[int, int, int, int, bytes]] = []
             for _, values, bounds, nodes in _sets(batch, size):
-                short = nodes & _SHORT
-                for i in np.flatnonzero(passes(bits.value, short) & (np.diff(bounds) > 0)):
+                short, n = nodes & _SHORT, np.diff(bounds)
+                level = np.searchsorted(size_classes(int(n.max(initial=1)), percent)[0], n, "right") - 1
+                for i in np.flatnonzero(passes(bits.value, short) & (n > 0)):
                     if (node := int(nodes[i])) not in seen:
                         seen.add(node)
-                        mine = values[bounds[i] : bounds[i + 1]]
-                        out.append((int(short[i]), node, len(mine), histogram(mine)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                        out.append((int(short[i]), node, int(n[i]), int(level[i]), sketch(values[bounds[i] : bounds[i + 1]])))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["short", "node", "n", "cells"]
+                [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["short", "node", "n", "level", "cells"]
             )
 
     return run
 
 
+def sift(n: np.ndarray, cells: list[bytes], side: np.ndarray, upper: np.ndarray, percent: int) -> np.ndarray:
+    """A label for every set of a block; pairs whose sizes and sketches allow a link have equal ones.
+
+    Sets of side 0 are held against those of side 1 where there are any, else against each other;
+    two `upper` sets are not, they meet as the lower ones of the next size class.  A pair that is
+    joined already is not looked at, so a block of near copies costs little more than its rows.
+    """
+    few = min(len(c) for c in cells)
+    rows = np.zeros((len(cells), few // 8), np.uint64)
+    for i, c in enumerate(cells):
+        words = np.frombuffer(c, np.uint64)
+        rows[i] = np.bitwise_xor.reduce(words.reshape(-1, few // 8), axis=0)
+    label, places, two = np.arange(len(cells)), np.arange(len(cells)), bool(side.any())
+    for i in range(len(cells)):
+        there = side != side[i] if two else places > i
+        if two and side[i]:
+            continue
+        there = there & (label != label[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
+        if upper[i]:
+            there &= ~upper
+        at = np.flatnonzero(there)
+        apart = np.bitwise_count(rows[at] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        hit = at[apart * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
+        if len(hit):
+            label[np.isin(label, label[hit])] = label[i]
+    return label
+
+
+def _sift(percent: int):
+    """Forests of the chained sets that may link; rows are sorted by block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            short, n, side, upper = (np.array(x) for x in list(zip(*held))[:4])
+            root = short[sift(n, [row[4] for row in held], side, upper, percent)]
+            part = short != root
+            return pa.RecordBatch.from_arrays([pa.array(short[part]), pa.array(root[part])], names=["a", "b"])
+
+        held: list[tuple[int, int, int, bool, bytes]] = []
+        last = None
+        for batch in batches:
+            names = ("root", "level", "i", "j", "salt", "upper", "short", "n", "cells")
+            for root, level, i, j, salt, upper, short, n, cells in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (root, level, i, j) != last:
+                    if len(held) > 1:
+                        yield flush()
+                    held, last = [], (root, level, i, j)
+                held.append((short, n, int(i != j and salt == j), upper, cells))
+        if len(held) > 1:
+            yield flush()
+
+    return run
+
+
+def _sifted(chains: DataFrame, sketches: DataFrame, percent: int, parts: int) -> DataFrame:
+    """(a, b): a forest of the pairs of chained documents that may link.
+
+    A set meets those of its own size class and, as an upper one, those of the class below.
+    """
+    placed = components(chains, "ngram_chained").withColumnRenamed("node", "short").join(sketches, "short")
+    both = placed.withColumn("upper", F.explode(F.array(F.lit(False), F.lit(True))))
+    both = both.withColumn("level", F.col("level") - F.col("upper").cast("int")).filter("level >= 0")
+    load = both.groupBy("root", "level").agg(
+        F.ceil(F.greatest(F.count("n") / SIFT_SETS, F.sum(F.length("cells")) / SIFT_BYTES)).cast("int").alias("salts"),
+        F.count(F.when(~F.col("upper"), 1)).alias("lower"),
+        F.count("n").alias("sets"),
+    ).filter("lower > 0 AND sets > 1")
+    blocks = (
+        both.join(load, ["root", "level"])
+        .withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        .select("root", "level", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"),
+                "salt", "upper", "short", "n", "cells")
+    )
+    key = ["root", "level", "i", "j"]
+    return blocks.repartition(parts, *key).sortWithinPartitions(*key).mapInArrow(_sift(percent), "a long, b long")
+
+
 def _possible(percent: int):
-    """A forest of the pairs whose sizes and histograms allow a link; rows are sorted by group.
+    """A forest of the pairs whose sizes and sketches allow a link; rows are sorted by group.
 
     Two sets may share a short id; a pair passes when any sets behind its ids allow it.
     """
@@ -541,12 +627,15 @@ def _grouped(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     met = staged(met.distinct().withColumn("met", F.xxhash64("members")), "ngram_met")
     entries = met.filter("members IS NOT NULL").select("met", "members").mapInArrow(_entries, "met long, short long")
     chains = met.filter("members IS NULL").select("part", "nodes", "roots").repartition(parts, "part")
-    chains = chains.mapInArrow(_chains, "a long, b long")
-    bits = spark.sparkContext.broadcast(sieve(entries.select("short"), "short"))
-    cells = texts.mapInArrow(_histograms(shingle, bits), "short long, node long, n long, cells binary").dropDuplicates(["node"])
-    both = entries.join(cells, "short").select("met", "short", "n", "cells")
-    forest = both.repartition(parts, "met").sortWithinPartitions("met").mapInArrow(_possible(percent), "a long, b long")
-    near = forest.unionByName(chains)
+    chains = staged(chains.mapInArrow(_chains, "a long, b long"), "ngram_chains")
+    wanted = entries.select("short").unionAll(chains.select("a")).unionAll(chains.select("b"))
+    bits = spark.sparkContext.broadcast(sieve(wanted, "short"))
+    sketches = texts.mapInArrow(_sketches(shingle, percent, bits), "short long, node long, n long, level int, cells binary")
+    sketches = staged(sketches.dropDuplicates(["node"]), "ngram_sketches")  # read for the groups and for the chains
+    both = entries.join(sketches, "short").select("met", "short", "n", "cells")
+    near = both.repartition(parts, "met").sortWithinPartitions("met").mapInArrow(_possible(percent), "a long, b long")
+    if not chains.isEmpty():
+        near = near.unionByName(_sifted(chains, sketches, percent, parts))
     candidate = components(near, "ngram_near").withColumnRenamed("node", "short")
     bits = spark.sparkContext.broadcast(sieve(candidate, "short"))
     size = ids.groupBy("node").agg(F.max("n_shingles").alias("n"))

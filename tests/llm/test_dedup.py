@@ -77,6 +77,54 @@ def test_chains_of_a_large_group_are_added_up_before_they_are_rows():
     assert found.tolist() == nodes.tolist() and set(roots.tolist()) == {7919}
 
 
+def test_sketches_bound_the_difference_of_sets():
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 33, 100, 129, 1500):
+        for share in (0.0, 0.6, 0.8, 0.95, 1.0):
+            common = rng.integers(0, 1 << 63, int(n * share), dtype=np.uint64)
+            a, b = (np.unique(np.append(common, rng.integers(0, 1 << 63, m - len(common), dtype=np.uint64))) for m in (n, n + n // 4))
+            least = ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(b))
+            assert least == ngram_join.least_difference(ngram_join.sketch(b), ngram_join.sketch(a)) <= len(np.setxor1d(a, b))
+            if n >= 100 and share <= 0.8:  # no candidates, their similarity is at most 0.6
+                assert least * 180 > (len(a) + len(b)) * 20
+
+
+def test_sifting_joins_what_may_link_and_nothing_else():
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.append(common, rng.integers(0, 1 << 63, m, dtype=np.uint64)) for m in [60] * 30 + [75] * 30]
+    sets += [np.append(s[2:], rng.integers(0, 1 << 63, 2, dtype=np.uint64)) for s in sets]  # a near copy of each
+    n, cells, of = np.array([len(s) for s in sets]), [ngram_join.sketch(s) for s in sets], np.arange(120) % 60
+    none = np.zeros(120, bool)
+    label = ngram_join.sift(n, cells, none.astype(int), none, 80)
+    assert len(set(zip(label.tolist(), of.tolist()))) == len(set(label.tolist())) == 60
+    crossed = ngram_join.sift(n, cells, (np.arange(120) >= 60).astype(int), none, 80)
+    assert len(set(zip(crossed.tolist(), of.tolist()))) == len(set(crossed.tolist())) == 60
+    assert len(set(ngram_join.sift(n, cells, none.astype(int), ~none, 80).tolist())) == 120
+
+
+def test_a_shared_passage_makes_no_candidates(spark, monkeypatch):
+    """Segments of a passage that many texts share are crowded; they joined all its texts, and each block was sent to every other."""
+    rng = random.Random(3)
+    bank = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    passage = rng.choices(bank, k=200)
+    texts = [" ".join(passage + rng.choices(bank, k=100)) for _ in range(60)]
+    texts += [text + " more" for text in texts[:5]]
+    largest, real = {}, ngram_join.components
+
+    def spied(edges, name):
+        found = real(edges, name)
+        largest[name] = max((r["count"] for r in found.groupBy("root").count().collect()), default=0)
+        return found
+
+    monkeypatch.setattr(ngram_join, "components", spied)
+    monkeypatch.setattr(ngram_join, "GROUP", 4)
+    monkeypatch.setattr(ngram_join, "SIFT_SETS", 16)  # chains over several blocks
+    got = {r.doc_id: r.component_id for r in ngram_components(rows_with_extras(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: i if i < 60 else i - 60 for i in range(65)}
+    assert largest["ngram_chained"] > 30 and largest["ngram_near"] == 2
+
+
 def test_ngram_repeated_rows_and_nulls(spark):
     text = "a b c d e f g"
     rows = [(5, text), (5, text), (None, text), (9, text), (None, ""), (7, "q")]
