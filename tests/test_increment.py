@@ -49,3 +49,17 @@ def test_incr_new_facts_takes_the_whole_batch_and_month(spark, monkeypatch):
     assert batch.count() == facts.count()
     last = facts.agg({"date_key": "max"}).first()[0] // 100
     assert found.count() == facts.filter(f"date_key div 100 = {last}").count()
+
+
+def test_incr_ledger_writes_no_clean_table(spark, tmp_path):
+    """The busiest month is counted on cleaned rows as they come; with a clean table at hand it is the same."""
+    from flightlake.catalog import QUERIES, Workspace
+
+    fresh = tmp_path / "sf0.001"
+    fresh.symlink_to("/root/testdata/sf0.001")
+    found = QUERIES["incr_ledger"](spark, str(fresh)).collect()
+    ws = Workspace.of(spark, str(fresh))
+    assert "clean_path" not in vars(ws) and "busy_month" in vars(ws)
+    assert {(r.reporting_year, r.reporting_month) for r in found} == {ws.busy_month}
+    other = Workspace(spark, str(fresh))
+    assert other.clean_path and other.busy_month == ws.busy_month
