@@ -158,3 +158,16 @@ def test_profiles_of_one_pass_write_no_table_first(spark):
     assert "edge" not in vars(ws)
     assert ws.edge.columns == ws.edge_once.columns and ws.edge_once is ws.edge
     assert alone == {name: QUERIES[name](spark, fresh).collect() for name in alone}
+
+
+def test_one_pass_over_the_faulted_rows_writes_no_table_of_them(spark, tmp_path):
+    from flightlake.catalog import QUERIES, Workspace
+
+    fresh = tmp_path / "sf0.001"
+    fresh.symlink_to("/root/testdata/sf0.001")
+    names = ("required_null_counts", "dq_constraints_edge")
+    once = [sorted(map(tuple, QUERIES[name](spark, str(fresh)).collect())) for name in names]
+    ws = Workspace.of(spark, str(fresh))
+    assert not {"edge", "edge_clean"} & set(vars(ws))
+    assert ws.edge_clean.columns == ws.edge_clean_once.columns and ws.edge_clean_once is ws.edge_clean
+    assert once == [sorted(map(tuple, QUERIES[name](spark, str(fresh)).collect())) for name in names]
